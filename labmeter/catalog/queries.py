@@ -17,8 +17,8 @@ from labmeter.operators import (
     uptime,
 )
 from labmeter.plans import listings, usage
-from labmeter.sources import samples, sinks
-from labmeter.sources.samples import NOW
+from labmeter.sources import sinks
+from labmeter.sources.samples import NOW, SampleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,26 +44,26 @@ HOSTS = {"10.240.0": "site-a", "10.240.1": "site-b", "10.240.2": "site-c"}
 OVERRIDES = {"10.240.1.15": "TEST LAB"}
 
 
-def _usage_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return samples.logins(spark, d), samples.logouts(spark, d), samples.power_log(spark, d)
+def _usage_tables(t: SampleTables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return t.logins, t.logouts, t.power_log
 
 
-def _login_events(spark: SparkSession, d: str) -> DataFrame:
-    events = sessions.login_timeline(samples.logins(spark, d), samples.logouts(spark, d))
+def _login_events(t: SampleTables) -> DataFrame:
+    events = sessions.login_timeline(t.logins, t.logouts)
     return events.drop("kind")
 
 
-def _closed_login_events(spark: SparkSession, d: str) -> DataFrame:
-    return sessions.with_closing(_login_events(spark, d), samples.reservations(spark, d), NOW)
+def _closed_login_events(t: SampleTables) -> DataFrame:
+    return sessions.with_closing(_login_events(t), t.reservations, NOW)
 
 
-def _closed_power_events(spark: SparkSession, d: str) -> DataFrame:
-    timeline = sessions.power_timeline(samples.power_log(spark, d))
-    return sessions.with_closing(timeline, samples.reservations(spark, d), NOW).drop("kind")
+def _closed_power_events(t: SampleTables) -> DataFrame:
+    timeline = sessions.power_timeline(t.power_log)
+    return sessions.with_closing(timeline, t.reservations, NOW).drop("kind")
 
 
-def _addressed(spark: SparkSession, d: str) -> DataFrame:
-    return samples.address_events(spark, d).select(
+def _addressed(t: SampleTables) -> DataFrame:
+    return t.address_events.select(
         "event_id", "ts", "action", names.extract_address(F.col("config_text")).alias("address")
     )
 
@@ -71,58 +71,58 @@ def _addressed(spark: SparkSession, d: str) -> DataFrame:
 # Scans ---------------------------------------------------------------------
 
 
-def scan_reservations(spark: SparkSession, d: str) -> DataFrame:
-    return samples.reservations(spark, d)
+def scan_reservations(t: SampleTables) -> DataFrame:
+    return t.reservations
 
 
-def scan_power_log(spark: SparkSession, d: str) -> DataFrame:
-    return samples.power_log(spark, d)
+def scan_power_log(t: SampleTables) -> DataFrame:
+    return t.power_log
 
 
-def scan_employees(spark: SparkSession, d: str) -> DataFrame:
-    return samples.employees(spark, d)
+def scan_employees(t: SampleTables) -> DataFrame:
+    return t.employees
 
 
 # Functions and filters -----------------------------------------------------
 
 
-def vm_fields(spark: SparkSession, d: str) -> DataFrame:
+def vm_fields(t: SampleTables) -> DataFrame:
     vm = F.col("vm_name")
-    return samples.reservations(spark, d).select(
+    return t.reservations.select(
         "vm_name", names.vm_owner(vm).alias("owner"), names.vm_lab_prefix(vm).alias("lab_prefix"),
         names.vm_created_text(vm).alias("created_text"),
         names.vm_created_ts(vm).alias("created_ts"), names.vm_reserved_ts(vm).alias("reserved_ts"),
     )
 
 
-def lab_kind(spark: SparkSession, d: str) -> DataFrame:
+def lab_kind(t: SampleTables) -> DataFrame:
     vm = F.col("vm_name")
-    return samples.reservations(spark, d).select(
+    return t.reservations.select(
         "vm_name", names.lab_kind(vm).alias("kind"), names.is_persistent(vm).alias("persistent")
     )
 
 
-def lab_status(spark: SparkSession, d: str) -> DataFrame:
+def lab_status(t: SampleTables) -> DataFrame:
     end = F.col("end_ts")
-    return samples.reservations(spark, d).select(
+    return t.reservations.select(
         "vm_name", "end_ts", status.lab_status(end, NOW).alias("state"),
         status.lab_status(end, NOW, ("Active", "Inactive")).alias("activity"),
     )
 
 
-def op_codes(spark: SparkSession, d: str) -> DataFrame:
-    return listings.coded_events(*_usage_tables(spark, d))
+def op_codes(t: SampleTables) -> DataFrame:
+    return listings.coded_events(*_usage_tables(t))
 
 
-def ops_to_log(spark: SparkSession, d: str) -> DataFrame:
-    ops = samples.power_ops(spark, d).unionByName(
-        uptime.creation_ops(samples.reservations(spark, d))
+def ops_to_log(t: SampleTables) -> DataFrame:
+    ops = t.power_ops.unionByName(
+        uptime.creation_ops(t.reservations)
     )
     return uptime.ops_to_log(ops)
 
 
-def flag_filter(spark: SparkSession, d: str) -> DataFrame:
-    staff = samples.employees(spark, d).select("email", "ase")
+def flag_filter(t: SampleTables) -> DataFrame:
+    staff = t.employees.select("email", "ase")
     kept = [
         staff.filter(status.flag_filter(F.col("ase"), mode)).withColumn("mode", F.lit(mode))
         for mode in (0, 1, 2)
@@ -130,33 +130,33 @@ def flag_filter(spark: SparkSession, d: str) -> DataFrame:
     return kept[0].unionByName(kept[1]).unionByName(kept[2])
 
 
-def reservations_in_range(spark: SparkSession, d: str) -> DataFrame:
+def reservations_in_range(t: SampleTables) -> DataFrame:
     inside = status.started_between(F.col("start_ts"), RANGE_LOW, RANGE_HIGH)
-    return samples.order_reservations(spark, d).filter(inside)
+    return t.order_reservations.filter(inside)
 
 
-def duration_text(spark: SparkSession, d: str) -> DataFrame:
+def duration_text(t: SampleTables) -> DataFrame:
     life = lifetimes.lifetime_seconds(F.col("start_ts"), F.col("end_ts"), NOW)
-    return samples.reservations(spark, d).select(
+    return t.reservations.select(
         "vm_name", life.alias("seconds"), text.duration_text(life).alias("spaced"),
         text.duration_text(life, compact=True).alias("compact"),
     )
 
 
-def elapsed_text(spark: SparkSession, d: str) -> DataFrame:
-    return samples.reservations(spark, d).select(
+def elapsed_text(t: SampleTables) -> DataFrame:
+    return t.reservations.select(
         "vm_name", text.elapsed_text(F.col("start_ts"), NOW).alias("since_start"),
         text.elapsed_text(F.col("end_ts"), NOW).alias("from_end"),
     )
 
 
-def elapsed_breakdown(spark: SparkSession, d: str) -> DataFrame:
-    return lifetimes.elapsed_breakdown(samples.reservations(spark, d), NOW)
+def elapsed_breakdown(t: SampleTables) -> DataFrame:
+    return lifetimes.elapsed_breakdown(t.reservations, NOW)
 
 
-def pct_text(spark: SparkSession, d: str) -> DataFrame:
+def pct_text(t: SampleTables) -> DataFrame:
     """Share of logins among the events of each lab, and a share of nothing."""
-    coded = listings.coded_events(*_usage_tables(spark, d))
+    coded = listings.coded_events(*_usage_tables(t))
     counts = coded.groupBy("vm_name").agg(
         F.count_if(F.col("op_code") == 0).alias("n_login"),
         F.count_if(F.col("op_code") == 2).alias("n_created"), F.count(F.lit(1)).alias("n"),
@@ -168,20 +168,20 @@ def pct_text(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def extract_address(spark: SparkSession, d: str) -> DataFrame:
-    return samples.address_events(spark, d).select(
+def extract_address(t: SampleTables) -> DataFrame:
+    return t.address_events.select(
         "event_id", names.extract_address(F.col("config_text")).alias("address")
     )
 
 
-def after_marker(spark: SparkSession, d: str) -> DataFrame:
-    return samples.address_events(spark, d).select(
+def after_marker(t: SampleTables) -> DataFrame:
+    return t.address_events.select(
         "event_id", names.after_marker(F.col("router_text")).alias("address")
     )
 
 
-def lab_buckets(spark: SparkSession, d: str) -> DataFrame:
-    return samples.order_reservations(spark, d).select(
+def lab_buckets(t: SampleTables) -> DataFrame:
+    return t.order_reservations.select(
         "vm_name", "lab", pivots.lab_bucket(F.col("lab"), BUCKETS).alias("bucket")
     )
 
@@ -189,198 +189,202 @@ def lab_buckets(spark: SparkSession, d: str) -> DataFrame:
 # Sessions and uptime -------------------------------------------------------
 
 
-def closing_events(spark: SparkSession, d: str) -> DataFrame:
-    logins = sessions.tag_events(samples.logins(spark, d), "login_ts", "in")
-    return sessions.closing_events(logins, samples.reservations(spark, d), NOW)
+def closing_events(t: SampleTables) -> DataFrame:
+    logins = sessions.tag_events(t.logins, "login_ts", "in")
+    return sessions.closing_events(logins, t.reservations, NOW)
 
 
-def session_numbers(spark: SparkSession, d: str) -> DataFrame:
-    return sessions.number_sessions(_closed_login_events(spark, d))
+def session_numbers(t: SampleTables) -> DataFrame:
+    return sessions.number_sessions(_closed_login_events(t))
 
 
-def session_pairs(spark: SparkSession, d: str) -> DataFrame:
-    pairs = sessions.session_pairs(_closed_login_events(spark, d))
+def session_pairs(t: SampleTables) -> DataFrame:
+    pairs = sessions.session_pairs(_closed_login_events(t))
     length = F.timestamp_diff("SECOND", F.col("login_ts"), F.col("logout_ts"))
     return pairs.withColumn("seconds", length)
 
 
-def login_totals(spark: SparkSession, d: str) -> DataFrame:
-    totals = sessions.session_totals(_closed_login_events(spark, d))
+def login_totals(t: SampleTables) -> DataFrame:
+    totals = sessions.session_totals(_closed_login_events(t))
     return totals.withColumnRenamed("total", "total_seconds")
 
 
-def login_totals_filled(spark: SparkSession, d: str) -> DataFrame:
-    totals = sessions.session_totals(_login_events(spark, d))
-    filled = sessions.zero_fill(totals, samples.power_log(spark, d))
+def login_totals_filled(t: SampleTables) -> DataFrame:
+    totals = sessions.session_totals(_login_events(t))
+    filled = sessions.zero_fill(totals, t.power_log)
     return filled.withColumnRenamed("total", "total_seconds")
 
 
-def uptime_totals(spark: SparkSession, d: str) -> DataFrame:
-    totals = sessions.session_totals(_closed_power_events(spark, d))
+def uptime_totals(t: SampleTables) -> DataFrame:
+    totals = sessions.session_totals(_closed_power_events(t))
     return totals.withColumnRenamed("total", "total_seconds")
 
 
-def uptime_intervals(spark: SparkSession, d: str) -> DataFrame:
-    return uptime.uptime_intervals(samples.power_ops(spark, d))
+def uptime_intervals(t: SampleTables) -> DataFrame:
+    return uptime.uptime_intervals(t.power_ops)
 
 
-def latest_interval(spark: SparkSession, d: str) -> DataFrame:
-    return uptime.latest_interval(uptime_intervals(spark, d))
+def latest_interval(t: SampleTables) -> DataFrame:
+    return uptime.latest_interval(uptime_intervals(t))
 
 
-def creation_ops(spark: SparkSession, d: str) -> DataFrame:
-    return uptime.creation_ops(samples.reservations(spark, d))
+def creation_ops(t: SampleTables) -> DataFrame:
+    return uptime.creation_ops(t.reservations)
 
 
-def first_last_seen(spark: SparkSession, d: str) -> DataFrame:
-    return lifetimes.first_last_seen(samples.logins(spark, d), samples.logouts(spark, d))
+def first_last_seen(t: SampleTables) -> DataFrame:
+    return lifetimes.first_last_seen(t.logins, t.logouts)
 
 
-def effective_end(spark: SparkSession, d: str) -> DataFrame:
-    return lifetimes.effective_end(samples.reservations(spark, d), samples.power_log(spark, d), NOW)
+def effective_end(t: SampleTables) -> DataFrame:
+    return lifetimes.effective_end(t.reservations, t.power_log, NOW)
 
 
 # Attribution and routing ---------------------------------------------------
 
 
-def attribute_events(spark: SparkSession, d: str) -> DataFrame:
+def attribute_events(t: SampleTables) -> DataFrame:
     return attribution.attribute_events(
-        _addressed(spark, d), samples.reservations(spark, d), overrides=OVERRIDES
+        _addressed(t), t.reservations, overrides=OVERRIDES
     )
 
 
-def attribute_events_exact(spark: SparkSession, d: str) -> DataFrame:
+def attribute_events_exact(t: SampleTables) -> DataFrame:
     return attribution.attribute_events(
-        _addressed(spark, d), samples.reservations(spark, d), exact=True
+        _addressed(t), t.reservations, exact=True
     )
 
 
-def attribute_events_now(spark: SparkSession, d: str) -> DataFrame:
+def attribute_events_now(t: SampleTables) -> DataFrame:
     return attribution.attribute_events(
-        _addressed(spark, d), samples.reservations(spark, d), now=NOW
+        _addressed(t), t.reservations, now=NOW
     )
 
 
-def rejected_events(spark: SparkSession, d: str) -> DataFrame:
-    return attribution.rejected(attribute_events_now(spark, d)).drop("vm_name")
+def rejected_events(t: SampleTables) -> DataFrame:
+    return attribution.rejected(attribute_events_now(t)).drop("vm_name")
 
 
-def lookup_first(spark: SparkSession, d: str) -> DataFrame:
-    labs = samples.reservations(spark, d)
+def lookup_first(t: SampleTables) -> DataFrame:
+    labs = t.reservations
     persistent = names.is_persistent(F.col("vm_name"))
     return attribution.lookup_first(
-        _addressed(spark, d), [labs.filter(persistent), labs.filter(~persistent)]
+        _addressed(t), [labs.filter(persistent), labs.filter(~persistent)]
     )
 
 
-def route_by_prefix(spark: SparkSession, d: str) -> DataFrame:
-    return attribution.route_by_prefix(_addressed(spark, d), "address", HOSTS)
+def route_by_prefix(t: SampleTables) -> DataFrame:
+    return attribution.route_by_prefix(_addressed(t), "address", HOSTS)
 
 
-def route_events(spark: SparkSession, d: str) -> DataFrame:
-    stored = attribution.accepted(attribute_events(spark, d))
+def route_events(t: SampleTables) -> DataFrame:
+    stored = attribution.accepted(attribute_events(t))
     return stored.select("vm_name", "ts", sinks.target_table(F.col("action")).alias("target"))
 
 
-def orphan_events(spark: SparkSession, d: str) -> DataFrame:
-    active = samples.reservations(spark, d).filter(status.is_active(F.col("end_ts"), NOW))
-    return attribution.orphan_events(samples.power_log(spark, d), active)
+def orphan_events(t: SampleTables) -> DataFrame:
+    active = t.reservations.filter(status.is_active(F.col("end_ts"), NOW))
+    return attribution.orphan_events(t.power_log, active)
 
 
 # Reports -------------------------------------------------------------------
 
 
-def usage_persistent(spark: SparkSession, d: str) -> DataFrame:
+def usage_persistent(t: SampleTables) -> DataFrame:
     return usage.usage_persistent(
-        samples.reservations(spark, d), *_usage_tables(spark, d), NOW, USAGE_FILTERS
+        t.reservations, *_usage_tables(t), NOW, USAGE_FILTERS
     )
 
 
-def usage_persistent_all(spark: SparkSession, d: str) -> DataFrame:
-    return usage.usage_persistent(samples.reservations(spark, d), *_usage_tables(spark, d), NOW)
+def usage_persistent_all(t: SampleTables) -> DataFrame:
+    return usage.usage_persistent(t.reservations, *_usage_tables(t), NOW)
 
 
-def usage_regular(spark: SparkSession, d: str) -> DataFrame:
-    logins, logouts, _ = _usage_tables(spark, d)
+def usage_regular(t: SampleTables) -> DataFrame:
+    logins, logouts, _ = _usage_tables(t)
     return usage.usage_regular(
-        samples.reservations(spark, d), logins, logouts, NOW, USAGE_FILTERS
+        t.reservations, logins, logouts, NOW, USAGE_FILTERS
     )
 
 
-def usage_ratio_minutes(spark: SparkSession, d: str) -> DataFrame:
+def usage_ratio_minutes(t: SampleTables) -> DataFrame:
     return usage.usage_ratio_minutes(
-        samples.reservations(spark, d), *_usage_tables(spark, d), NOW
+        t.reservations, *_usage_tables(t), NOW
     )
 
 
-def event_timeline(spark: SparkSession, d: str) -> DataFrame:
+def event_timeline(t: SampleTables) -> DataFrame:
     return listings.event_timeline(
-        *_usage_tables(spark, d), samples.reservations(spark, d), NOW,
+        *_usage_tables(t), t.reservations, NOW,
         {"labs": ["Lab 0", "lab 1"], "kinds": ["Customized"]},
     )
 
 
-def session_list(spark: SparkSession, d: str) -> DataFrame:
+def session_list(t: SampleTables) -> DataFrame:
     return listings.session_list(
-        *_usage_tables(spark, d), samples.reservations(spark, d), {"labs": ["Lab 0", "Lab 1"]}
+        *_usage_tables(t), t.reservations, {"labs": ["Lab 0", "Lab 1"]}
     )
 
 
-def labs_by_user(spark: SparkSession, d: str) -> DataFrame:
+def labs_by_user(t: SampleTables) -> DataFrame:
     return listings.labs_by_user(
-        samples.reservations(spark, d), samples.employees(spark, d), NOW, EMPLOYEE_FILTERS
+        t.reservations, t.employees, NOW, EMPLOYEE_FILTERS
     )
 
 
-def labs_by_region(spark: SparkSession, d: str) -> DataFrame:
+def labs_by_region(t: SampleTables) -> DataFrame:
     return listings.labs_by_region(
-        samples.reservations(spark, d), samples.employees(spark, d), NOW, EMPLOYEE_FILTERS,
+        t.reservations, t.employees, NOW, EMPLOYEE_FILTERS,
         flag_mode=0,
     )
 
 
-def reservation_summary(spark: SparkSession, d: str) -> DataFrame:
+def reservation_summary(t: SampleTables) -> DataFrame:
     return pivots.reservation_summary(
-        samples.order_reservations(spark, d), samples.employees(spark, d), RANGE_LOW, RANGE_HIGH
+        t.order_reservations, t.employees, RANGE_LOW, RANGE_HIGH
     )
 
 
-def reservation_pivot(spark: SparkSession, d: str) -> DataFrame:
+def reservation_pivot(t: SampleTables) -> DataFrame:
     return pivots.reservation_pivot(
-        samples.order_reservations(spark, d), samples.employees(spark, d), BUCKETS,
+        t.order_reservations, t.employees, BUCKETS,
         RANGE_LOW, RANGE_HIGH,
     )
 
 
-def reservation_pivot_all(spark: SparkSession, d: str) -> DataFrame:
+def reservation_pivot_all(t: SampleTables) -> DataFrame:
     return pivots.reservation_pivot(
-        samples.order_reservations(spark, d), samples.employees(spark, d), BUCKETS,
+        t.order_reservations, t.employees, BUCKETS,
         RANGE_LOW, RANGE_HIGH, last_all_time=True, keep_all=True,
     )
 
 
-def _changes(spark: SparkSession, d: str, only: str | None) -> DataFrame:
+def _changes(t: SampleTables, only: str | None) -> DataFrame:
     return changes.extract_changes(
-        samples.reservations(spark, d), samples.employees(spark, d), samples.power_log(spark, d),
+        t.reservations, t.employees, t.power_log,
         LOW, NOW, only,
     )
 
 
-def extract_changes_all(spark: SparkSession, d: str) -> DataFrame:
-    return _changes(spark, d, None)
+def extract_changes_all(t: SampleTables) -> DataFrame:
+    return _changes(t, None)
 
 
-def extract_changes_deleted(spark: SparkSession, d: str) -> DataFrame:
-    return _changes(spark, d, "deleted")
+def extract_changes_deleted(t: SampleTables) -> DataFrame:
+    return _changes(t, "deleted")
 
 
-def latest_changes(spark: SparkSession, d: str) -> DataFrame:
-    return changes.latest_changes(extract_changes_deleted(spark, d))
+def latest_changes(t: SampleTables) -> DataFrame:
+    return changes.latest_changes(extract_changes_deleted(t))
+
+
+def _registered(build: Callable[[SampleTables], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(SampleTables(spark, sf_dir))
 
 
 ALL: dict[str, Query] = {
-    query.__name__: query
-    for query in (
+    build.__name__: _registered(build)
+    for build in (
         scan_reservations, scan_power_log, scan_employees,
         vm_fields, lab_kind, lab_status, op_codes, ops_to_log, flag_filter,
         reservations_in_range, duration_text, elapsed_text, elapsed_breakdown, pct_text,

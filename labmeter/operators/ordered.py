@@ -13,10 +13,8 @@ A plain window partitioned by VM sends every event of a VM to one task. Here
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labmeter.functions.clock import epoch_of, moment
@@ -60,39 +58,45 @@ def with_neighbours(
         instants.select(*keys, *columns).withColumn("slice", slice_of).repartition(*keys, "slice")
     )
 
-    inside = Window.partitionBy(*keys, "slice").orderBy(ts)
-    local = sliced.select(
+    key = ", ".join(keys)
+    inside = f"OVER (PARTITION BY {key}, slice ORDER BY {ts})"
+    across = f"OVER (PARTITION BY {key} ORDER BY slice)"
+    local = sliced.selectExpr(
         *keys, "slice", *columns,
-        *[F.lead(c).over(inside).alias(f"next_{c}") for c in columns],
-        *[F.lag(c).over(inside).alias(f"prev_{c}") for c in columns],
-        *[_sum_before(c, inside).alias(f"before_{c}") for c in running],
+        *[f"lead({c}) {inside} AS next_{c}" for c in columns],
+        *[f"lag({c}) {inside} AS prev_{c}" for c in columns],
+        *[f"{_sum_before(c, inside)} AS before_{c}" for c in running],
     )
-
     summaries = sliced.groupBy(*keys, "slice").agg(
-        F.min(ts).alias(f"head_{ts}"), *[F.min_by(c, ts).alias(f"head_{c}") for c in counts],
-        F.max(ts).alias(f"tail_{ts}"), *[F.max_by(c, ts).alias(f"tail_{c}") for c in counts],
-        *[F.sum(c).alias(f"slice_{c}") for c in running],
-        F.sum(reduce(add, map(F.col, counts))).alias("slice_events"),
-    ).filter(F.col("slice_events") > 0)
-    across = Window.partitionBy(*keys).orderBy("slice")
-    carry = summaries.select(
+        *_columns(
+            f"min({ts}) AS head_{ts}", f"max({ts}) AS tail_{ts}",
+            *[f"min_by({c}, {ts}) AS head_{c}" for c in counts],
+            *[f"max_by({c}, {ts}) AS tail_{c}" for c in counts],
+            *[f"sum({c}) AS slice_{c}" for c in running],
+            f"sum({' + '.join(counts)}) AS slice_events",
+        )
+    ).filter("slice_events > 0")
+    carry = summaries.selectExpr(
         *keys, "slice",
-        *[F.lead(f"head_{c}").over(across).alias(f"after_{c}") for c in columns],
-        *[F.lag(f"tail_{c}").over(across).alias(f"ahead_{c}") for c in columns],
-        *[_sum_before(f"slice_{c}", across).alias(f"carried_{c}") for c in running],
+        *[f"lead(head_{c}) {across} AS after_{c}" for c in columns],
+        *[f"lag(tail_{c}) {across} AS ahead_{c}" for c in columns],
+        *[f"{_sum_before(f'slice_{c}', across)} AS carried_{c}" for c in running],
     )
-
-    return local.join(carry, [*keys, "slice"]).select(
+    return local.join(carry, [*keys, "slice"]).selectExpr(
         *keys, *columns,
-        *[F.coalesce(f"next_{c}", f"after_{c}").alias(f"next_{c}") for c in columns],
-        *[F.coalesce(f"prev_{c}", f"ahead_{c}").alias(f"prev_{c}") for c in columns],
-        *[(F.col(f"before_{c}") + F.col(f"carried_{c}")).alias(f"before_{c}") for c in running],
+        *[f"coalesce(next_{c}, after_{c}) AS next_{c}" for c in columns],
+        *[f"coalesce(prev_{c}, ahead_{c}) AS prev_{c}" for c in columns],
+        *[f"before_{c} + carried_{c} AS before_{c}" for c in running],
     )
 
 
-def _sum_before(column: str, window: Window) -> Column:
-    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(column).over(earlier), F.lit(0))
+def _columns(*expressions: str) -> list[Column]:
+    return [F.expr(e) for e in expressions]
+
+
+def _sum_before(column: str, window: str) -> str:
+    earlier = window.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    return f"coalesce(sum({column}) {earlier}, 0)"
 
 
 def repeat_rows(df: DataFrame, times: Column, index: str = "copy") -> DataFrame:

@@ -132,15 +132,29 @@ def session_pairs(events: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return repeat_rows(rows, F.col("times")).select(*keys, "login_ts", "logout_ts")
 
 
-def session_totals(
-    events: DataFrame, keys: Sequence[str] = KEYS, unit: str = "SECOND"
-) -> DataFrame:
-    """(keys, total): whole units per session, cut before they are summed.
+_LENGTH = "timestampdiff({}, login_ts, logout_ts)"
+
+
+def session_totals(events: DataFrame, unit: str = "SECOND") -> DataFrame:
+    """(vm_name, total): whole units per session, cut before they are summed.
 
-    A key without a finished session has a NULL total.
+    A VM without a finished session has a NULL total.
     """
-    length = F.timestamp_diff(unit, F.col("login_ts"), F.col("logout_ts"))
-    return _openings(events, keys).groupBy(*keys).agg(F.sum(length).alias("total"))
+    return _openings(events, KEYS).groupBy("vm_name").agg(
+        F.expr(f"sum({_LENGTH.format(unit)})").alias("total")
+    )
+
+
+def totals_by_kind(events: DataFrame, unit: str = "SECOND") -> DataFrame:
+    """(vm_name, <kind>_total, has_<kind>) for logins and power, from one pass over both."""
+    measures = []
+    for kind in (LOGIN, POWER):
+        mine = f"FILTER (WHERE kind = '{kind}')"
+        measures += [
+            F.expr(f"sum({_LENGTH.format(unit)}) {mine}").alias(f"{kind}_total"),
+            F.expr(f"count(*) {mine} > 0").alias(f"has_{kind}"),
+        ]
+    return _openings(events, KIND_KEYS).groupBy("vm_name").agg(*measures)
 
 
 def zero_fill(totals: DataFrame, keys: DataFrame) -> DataFrame:

@@ -13,12 +13,12 @@ from labmeter.functions.status import lab_status, report_filter
 from labmeter.functions.text import duration_text, pct_text
 from labmeter.operators.lifetimes import created_lifetimes, lifetime_seconds
 from labmeter.operators.sessions import (
-    KIND_KEYS,
     LOGIN,
     POWER,
     login_timeline,
     power_timeline,
     session_totals,
+    totals_by_kind,
     with_closing,
 )
 
@@ -39,20 +39,6 @@ def _events_of(labs: DataFrame, events: DataFrame, filters: Filters | None) -> D
     return events.join(labs.select("vm_name"), "vm_name", "left_semi") if filters else events
 
 
-def _two_totals(events: DataFrame, unit: str = "SECOND") -> DataFrame:
-    """(vm_name, login_total, power_total, has_login, has_power) from one pass over both logs."""
-    totals = session_totals(events, KIND_KEYS, unit)
-
-    def of(kind: str) -> list[Column]:
-        mine = F.col("kind") == kind
-        return [
-            F.max(F.when(mine, F.col("total"))).alias(f"{kind}_total"),
-            (F.count_if(mine) > 0).alias(f"has_{kind}"),
-        ]
-
-    return totals.groupBy("vm_name").agg(*of(LOGIN), *of(POWER))
-
-
 def usage_persistent(
     reservations: DataFrame,
     logins: DataFrame,
@@ -71,7 +57,7 @@ def usage_persistent(
     labs = _chosen_labs(persistent, now, filters)
     timeline = login_timeline(logins, logouts).unionByName(power_timeline(power_log))
     timeline = _events_of(labs, timeline.filter(is_persistent(F.col("vm_name"))), filters)
-    totals = _two_totals(with_closing(timeline, labs, now)).filter(f"has_{POWER}").select(
+    totals = totals_by_kind(with_closing(timeline, labs, now)).filter(f"has_{POWER}").select(
         "vm_name", F.coalesce("login_total", F.lit(0)).alias("login_total"), "power_total"
     )
     vm, life = F.col("vm_name"), F.col("life_seconds")
@@ -120,7 +106,7 @@ def usage_ratio_minutes(
     login_events = login_timeline(logins, logouts.filter(persistent))
     login_events = with_closing(login_events, reservations.filter(persistent), now)
     power_events = with_closing(power_timeline(power_log), reservations, now)
-    totals = _two_totals(login_events.unionByName(power_events), "MINUTE")
+    totals = totals_by_kind(login_events.unionByName(power_events), "MINUTE")
     labs = reservations.withColumn("active", lab_status(F.col("end_ts"), now, ("Active", "Inactive")))
     return (
         totals.filter(f"has_{LOGIN} and has_{POWER}")

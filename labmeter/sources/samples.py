@@ -6,6 +6,8 @@ one extra reservation per order. Everything stays lazy and runs over whole table
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,26 +22,45 @@ OPERATION_OF_TYPE = {
 }
 OP_OF_TYPE = {"signup": 0, "purchase": 1, "error": 2}
 
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Columns in use; a given schema spares the job that would read it from a file footer.
+COLUMNS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+}
 
 
 def _days(n: Column) -> Column:
     return F.make_dt_interval(days=n.cast("int"))
 
 
-def labs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """user_id, vm_name, lab, email, rdp, start_ts, end_ts."""
-    user = F.col("user_id")
-    owner = F.concat(F.lit("user"), user % 30)
-    mark = F.when(user % 2 == 0, "-Persistent-(").otherwise("-(")
-    return (
-        _table(spark, sf_dir, "events")
-        .groupBy("user_id").agg(F.min("ts").alias("first_ts"))
-        .select("user_id", F.concat(F.lit("Lab "), user % 5).alias("lab"),
-                whole_second(F.col("first_ts")).alias("start_ts"))
-        .select(
+class SampleTables:
+    """The usage tables of one sample folder; each is built once, when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._dir = spark, sf_dir
+
+    def _read(self, name: str) -> DataFrame:
+        return self._spark.read.schema(COLUMNS[name]).parquet(f"{self._dir}/{name}.parquet")
+
+    @cached_property
+    def _events(self) -> DataFrame:
+        return self._read("events")
+
+    @cached_property
+    def labs(self) -> DataFrame:
+        """user_id, vm_name, lab, email, rdp, start_ts, end_ts."""
+        user = F.col("user_id")
+        owner = F.concat(F.lit("user"), user % 30)
+        mark = F.when(user % 2 == 0, "-Persistent-(").otherwise("-(")
+        firsts = self._events.groupBy("user_id").agg(F.min("ts").alias("first_ts"))
+        return firsts.select(
+            "user_id", F.concat(F.lit("Lab "), user % 5).alias("lab"),
+            whole_second(F.col("first_ts")).alias("start_ts"),
+        ).select(
             "user_id",
             F.concat("lab", mark, owner, F.lit(")-"),
                      F.date_format("start_ts", CREATED_FORMAT), F.lit(":000001")).alias("vm_name"),
@@ -47,81 +68,83 @@ def labs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("10.240."), user % 7, F.lit("."), user).alias("rdp"),
             "start_ts", (F.col("start_ts") + _days(user % 40 + 5)).alias("end_ts"),
         )
-    )
-
-
-def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labs(spark, sf_dir).drop("user_id")
-
 
-def _events_of(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
-    """event_id, vm_name, rdp, ts, event_type of the given event types."""
-    events = _table(spark, sf_dir, "events").filter(F.col("event_type").isin(*types))
-    owners = labs(spark, sf_dir).select("user_id", "vm_name", "rdp")
-    return events.select(
-        "event_id", "user_id", whole_second(F.col("ts")).alias("ts"), "event_type"
-    ).join(owners, "user_id")
-
-
-def logins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events_of(spark, sf_dir, "click").select("vm_name", F.col("ts").alias("login_ts"))
-
-
-def logouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events_of(spark, sf_dir, "view").select("vm_name", F.col("ts").alias("logout_ts"))
-
-
-def power_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = F
-    for kind in OP_OF_TYPE:
-        names = names.when(F.col("event_type") == kind, OPERATION_OF_TYPE[kind])
-    return _events_of(spark, sf_dir, *OP_OF_TYPE).select(
-        "vm_name", F.col("ts").alias("log_ts"), names.alias("operation")
-    )
+    @cached_property
+    def reservations(self) -> DataFrame:
+        return self.labs.drop("user_id")
 
+    @cached_property
+    def _lab_events(self) -> DataFrame:
+        """event_id, event_type, vm_name, rdp, ts."""
+        owners = self.labs.select("user_id", "vm_name", "rdp")
+        events = self._events.select(
+            "event_id", "user_id", "event_type", whole_second(F.col("ts")).alias("ts")
+        )
+        return events.join(owners, "user_id")
+
+    def _of_types(self, *types: str) -> DataFrame:
+        return self._lab_events.filter(F.col("event_type").isin(*types))
+
+    @cached_property
+    def logins(self) -> DataFrame:
+        return self._of_types("click").select("vm_name", F.col("ts").alias("login_ts"))
+
+    @cached_property
+    def logouts(self) -> DataFrame:
+        return self._of_types("view").select("vm_name", F.col("ts").alias("logout_ts"))
+
+    @cached_property
+    def power_log(self) -> DataFrame:
+        operation = F
+        for kind in OP_OF_TYPE:
+            operation = operation.when(F.col("event_type") == kind, OPERATION_OF_TYPE[kind])
+        return self._of_types(*OP_OF_TYPE).select(
+            "vm_name", F.col("ts").alias("log_ts"), operation.alias("operation")
+        )
 
-def power_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = F
-    for kind, op in OP_OF_TYPE.items():
-        codes = codes.when(F.col("event_type") == kind, op)
-    return _events_of(spark, sf_dir, *OP_OF_TYPE).select("vm_name", "ts", codes.alias("op"))
+    @cached_property
+    def power_ops(self) -> DataFrame:
+        code = F
+        for kind, op in OP_OF_TYPE.items():
+            code = code.when(F.col("event_type") == kind, op)
+        return self._of_types(*OP_OF_TYPE).select("vm_name", "ts", code.alias("op"))
+
+    @cached_property
+    def employees(self) -> DataFrame:
+        key = F.col("c_custkey")
+        return (
+            self._read("customer")
+            .join(self._read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(self._read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .select(
+                F.concat(F.lit("user"), key, F.lit("@example.com")).alias("email"),
+                F.col("c_name").alias("full_name"), F.col("r_name").alias("region"),
+                F.col("n_name").alias("location"),
+                F.concat(F.lit("Manager "), F.col("c_nationkey") % 7).alias("manager"),
+                F.concat(F.lit("Unit "), F.col("c_nationkey") % 3).alias("business_unit"),
+                F.col("c_mktsegment").alias("department"),
+                F.concat(F.lit("Title "), key % 4).alias("business_title"),
+                F.when(key % 3 == 0, True).when(key % 3 == 1, False).alias("ase"),
+            )
+        )
 
+    @cached_property
+    def order_reservations(self) -> DataFrame:
+        """A larger reservations table for summaries and pivots, without an RDP."""
+        order, start = F.col("o_orderkey"), F.col("o_orderdate")
+        return self._read("orders").select(
+            F.concat(F.lit("vm-"), order).alias("vm_name"),
+            F.concat(F.lit("user"), F.col("o_custkey"), F.lit("@example.com")).alias("email"),
+            F.col("o_orderpriority").alias("lab"), start.alias("start_ts"),
+            (start + _days(order % 30 + 1)).alias("end_ts"),
+        )
 
-def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return (
-        _table(spark, sf_dir, "customer")
-        .join(_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.concat(F.lit("user"), key, F.lit("@example.com")).alias("email"),
-            F.col("c_name").alias("full_name"), F.col("r_name").alias("region"),
-            F.col("n_name").alias("location"),
-            F.concat(F.lit("Manager "), F.col("c_nationkey") % 7).alias("manager"),
-            F.concat(F.lit("Unit "), F.col("c_nationkey") % 3).alias("business_unit"),
-            F.col("c_mktsegment").alias("department"),
-            F.concat(F.lit("Title "), key % 4).alias("business_title"),
-            F.when(key % 3 == 0, True).when(key % 3 == 1, False).alias("ase"),
+    @cached_property
+    def address_events(self) -> DataFrame:
+        """Every logon and logoff as a collector sees it: text that holds the address."""
+        action = F.when(F.col("event_type") == "click", "in").otherwise("out")
+        return self._of_types("click", "view").select(
+            "event_id", "ts", action.alias("action"),
+            F.concat(F.lit("Host Name : pc\nIPv4 Address : "), F.col("rdp")).alias("config_text"),
+            F.concat(F.lit("eth0 u/u "), F.col("rdp"), F.lit("/24 LAN")).alias("router_text"),
         )
-    )
-
-
-def order_reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A larger reservations table for summaries and pivots, without VM fields."""
-    order, start = F.col("o_orderkey"), F.col("o_orderdate")
-    return _table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("vm-"), order).alias("vm_name"),
-        F.concat(F.lit("user"), F.col("o_custkey"), F.lit("@example.com")).alias("email"),
-        F.col("o_orderpriority").alias("lab"), start.alias("start_ts"),
-        (start + _days(order % 30 + 1)).alias("end_ts"),
-    )
-
-
-def address_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every logon and logoff as a collector sees it: the text that holds the address."""
-    action = F.when(F.col("event_type") == "click", "in").otherwise("out")
-    return _events_of(spark, sf_dir, "click", "view").select(
-        "event_id", "ts", action.alias("action"),
-        F.concat(F.lit("Host Name : pc\nIPv4 Address : "), F.col("rdp")).alias("config_text"),
-        F.concat(F.lit("eth0 u/u "), F.col("rdp"), F.lit("/24 LAN")).alias("router_text"),
-    )
