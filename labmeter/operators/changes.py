@@ -32,27 +32,42 @@ def extract_changes(
     deletions only and leaves out the operation.
     """
     log = deletions(power_log) if only == "deleted" else power_log
-    reserved = reservations.withColumn("reserve_time", vm_reserved_ts(F.col("vm_name")))
-
     # Two parts of one left join. Logged changes are an inner join, which skew
     # handling can split on the log side and whose time bound reaches the scan;
     # the rest needs only the names that occur in the log.
     recent = F.col("log_ts").isNull() | _within(F.col("log_ts"), low, now)
-    logged = reserved.join(log.filter(recent), "vm_name")
-    unlogged = (
-        reserved.join(log.select("vm_name").distinct(), "vm_name", "left_anti")
-        .withColumn("log_ts", F.lit(None).cast("timestamp_ntz"))
-        .withColumn("operation", F.lit(None).cast("string"))
+    untouched = reservations.join(log.select("vm_name").distinct(), "vm_name", "left_anti")
+    both = logged_changes(reservations, log.filter(recent)).unionByName(
+        first_changes(untouched), allowMissingColumns=True
     )
-    changes = logged.unionByName(unlogged).withColumn(
-        "modified", F.coalesce("log_ts", "reserve_time")
-    ).filter(_within(F.col("modified"), low, now))
-
-    operation = [] if only == "deleted" else ["operation"]
-    return with_employee(changes, employees).select(
-        *reservations.columns, *operation, "reserve_time",
-        lab_kind(F.col("vm_name")).alias("lab_type"), *EMPLOYEE_COLUMNS, "modified",
+    changes = describe_changes(both.filter(_within(F.col("modified"), low, now)), employees)
+    return changes.drop("operation") if only == "deleted" else changes
+
+
+def logged_changes(reservations: DataFrame, log: DataFrame) -> DataFrame:
+    """One change per log row, modified at its time."""
+    modified = F.coalesce("log_ts", "reserve_time")
+    return _with_reserve_time(reservations).join(log, "vm_name").withColumn(
+        "modified", modified
+    ).drop("log_ts")
+
+
+def first_changes(reservations: DataFrame) -> DataFrame:
+    """One change per reservation, modified when it was made."""
+    return _with_reserve_time(reservations).withColumn("modified", F.col("reserve_time"))
+
+
+def describe_changes(changes: DataFrame, employees: DataFrame) -> DataFrame:
+    """Changes with the kind of lab and its owner's employee columns; `modified` last."""
+    described = with_employee(
+        changes.withColumn("lab_type", lab_kind(F.col("vm_name"))),
+        employees.select("email", *EMPLOYEE_COLUMNS),
     )
+    return described.select(*[c for c in described.columns if c != "modified"], "modified")
+
+
+def _with_reserve_time(reservations: DataFrame) -> DataFrame:
+    return reservations.withColumn("reserve_time", vm_reserved_ts(F.col("vm_name")))
 
 
 def _within(ts: Column, low: Column | datetime | str, now: Column | datetime | str) -> Column:

@@ -59,12 +59,12 @@ def with_neighbours(
     )
 
     key = ", ".join(keys)
-    inside = f"OVER (PARTITION BY {key}, slice ORDER BY {ts})"
-    across = f"OVER (PARTITION BY {key} ORDER BY slice)"
+    inside = f"PARTITION BY {key}, slice ORDER BY {ts}"
+    across = f"PARTITION BY {key} ORDER BY slice"
     local = sliced.selectExpr(
         *keys, "slice", *columns,
-        *[f"lead({c}) {inside} AS next_{c}" for c in columns],
-        *[f"lag({c}) {inside} AS prev_{c}" for c in columns],
+        *[f"lead({c}) OVER ({inside}) AS next_{c}" for c in columns],
+        *[f"lag({c}) OVER ({inside}) AS prev_{c}" for c in columns],
         *[f"{_sum_before(c, inside)} AS before_{c}" for c in running],
     )
     summaries = sliced.groupBy(*keys, "slice").agg(
@@ -78,8 +78,8 @@ def with_neighbours(
     ).filter("slice_events > 0")
     carry = summaries.selectExpr(
         *keys, "slice",
-        *[f"lead(head_{c}) {across} AS after_{c}" for c in columns],
-        *[f"lag(tail_{c}) {across} AS ahead_{c}" for c in columns],
+        *[f"lead(head_{c}) OVER ({across}) AS after_{c}" for c in columns],
+        *[f"lag(tail_{c}) OVER ({across}) AS ahead_{c}" for c in columns],
         *[f"{_sum_before(f'slice_{c}', across)} AS carried_{c}" for c in running],
     )
     return local.join(carry, [*keys, "slice"]).selectExpr(
@@ -95,26 +95,33 @@ def _columns(*expressions: str) -> list[Column]:
 
 
 def _sum_before(column: str, window: str) -> str:
-    earlier = window.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-    return f"coalesce(sum({column}) {earlier}, 0)"
+    frame = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return f"coalesce(sum({column}) OVER ({window} {frame}), 0)"
 
 
 def repeat_rows(df: DataFrame, times: Column, index: str = "copy") -> DataFrame:
     """Each row `times` times, numbered from 1 in `index`; rows with fewer than one go.
 
+    Only rows with several copies are moved.
+    """
+    counted = df.withColumn("_times", times.cast("long"))
+    single = counted.filter("_times = 1").withColumn(index, F.lit(1).cast("long"))
+    several = unfold(counted.filter("_times > 1"), "_times", index)
+    return single.unionByName(several).drop("_times")
+
+
+def unfold(df: DataFrame, times: str, index: str) -> DataFrame:
+    """Each row as often as column `times` says.
+
     A row with many copies is cut into blocks that are spread over the cluster
     before they unfold, so no task has to write a whole group.
     """
-    counted = df.withColumn("_times", times.cast("long"))
-    single = counted.filter(F.col("_times") == 1).withColumn(index, F.lit(1).cast("long"))
-    last_block = int_div(F.col("_times") - 1, COPIES_PER_BLOCK)
+    last_block = int_div(F.col(times) - 1, COPIES_PER_BLOCK)
     first = F.col("_block") * COPIES_PER_BLOCK + 1
-    last = F.least(F.col("_times"), (F.col("_block") + 1) * COPIES_PER_BLOCK)
-    several = (
-        counted.filter(F.col("_times") > 1)
-        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+    last = F.least(F.col(times), (F.col("_block") + 1) * COPIES_PER_BLOCK)
+    return (
+        df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
         .repartition(*df.columns, "_block")
         .withColumn(index, F.explode(F.sequence(first, last)))
         .drop("_block")
     )
-    return single.unionByName(several).drop("_times")
