@@ -5,6 +5,9 @@ watermark. It releases a second once no more events of it can come, so seconds
 reach the state in order, late events within the delay find their place, and
 later ones are dropped. The state of a VM is a few numbers, and what a VM can
 bring in one trigger is bounded by the seconds its watermark moved.
+
+The session must keep its state in RocksDB: set
+`spark.sql.streaming.stateStore.providerClass` to `STATE_STORE`.
 """
 
 from __future__ import annotations
@@ -15,13 +18,14 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from labmeter.functions.status import DELETE, POWER_ON, SUSPEND
 from labmeter.operators.ordered import unfold
 
 ROWS = "vm_name string, opened bigint, closed bigint, times bigint"
 STATE = "pending bigint, seen boolean"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _instants(events: DataFrame, ts: str, delay: str, **counted: Column) -> DataFrame:
@@ -33,66 +37,75 @@ def _instants(events: DataFrame, ts: str, delay: str, **counted: Column) -> Data
     )
 
 
-def _in_order(frames: Iterator[pd.DataFrame]) -> Iterator[Any]:
-    instants = pd.concat(list(frames)).drop(columns="vm_name")
-    return instants.sort_values("sec").astype(object).itertuples(index=False)
-
-
-def _emit(vm_name: str, rows: list[tuple[int | None, int | None, int]]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["opened", "closed", "times"]).astype("Int64")
-    frame.insert(0, "vm_name", vm_name)
-    return frame
+class _Fold(StatefulProcessor):
+    """Folds the instants of a VM, in order, into rows of (opened, closed, times).
 
+    `pending` is the start that waits for its end; `seen` says whether the log
+    (sessions) or the first interval (uptime) has begun.
+    """
 
-def _pair_sessions(
-    key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """`pending` is the login that waits for its logout, `seen` whether the log has begun."""
-    pending, seen = state.get if state.exists else (None, False)
-    rows: list[tuple[int | None, int | None, int]] = []
-    for now in _in_order(frames):
+    pending: int | None
+    seen: bool
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._state = handle.getValueState("fold", STATE)
+
+    def handleInputRows(
+        self, key: tuple[str], rows: Iterator[pd.DataFrame], timerValues: Any
+    ) -> Iterator[pd.DataFrame]:
+        instants = pd.concat(list(rows)).drop(columns="vm_name").sort_values("sec").astype(object)
+        self.pending, self.seen = self._state.get() if self._state.exists() else (None, False)
+        found: list[tuple[int | None, int | None, int]] = []
+        for instant in instants.itertuples(index=False):
+            found += self.step(instant)
+        self._state.update((self.pending, self.seen))
+        frame = pd.DataFrame(found, columns=["opened", "closed", "times"]).astype("Int64")
+        frame.insert(0, "vm_name", key[0])
+        yield frame
+
+    def step(self, now: Any) -> Iterator[tuple[int | None, int | None, int]]:
+        raise NotImplementedError
+
+    def start(self, now: Any, copies: int) -> Iterator[tuple[int | None, int | None, int]]:
+        """Several starts in one second: each leaves the one before it open for good."""
+        if self.pending is not None:
+            yield self.pending, None, 1
+        if copies > 1:
+            yield now.sec, None, copies - 1
+        self.pending = now.sec
+
+    def close(self) -> None:
+        pass
+
+
+class _PairSessions(_Fold):
+    def step(self, now: Any) -> Iterator[tuple[int | None, int | None, int]]:
         if now.n_out:
-            if pending is not None or not seen:
-                rows.append((pending, now.sec, 1))
-            pending = None
+            if self.pending is not None or not self.seen:
+                yield self.pending, now.sec, 1
+            self.pending = None
         if now.n_in:
-            if pending is not None:
-                rows.append((pending, None, 1))
-            if now.n_in > 1:
-                rows.append((now.sec, None, now.n_in - 1))
-            pending = now.sec
-        seen = True
-    state.update((pending, seen))
-    yield _emit(key[0], rows)
-
-
-def _fold_power(
-    key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """`pending` is the open interval's start, `seen` whether any interval was ever opened."""
-    pending, seen = state.get if state.exists else (None, False)
-    rows: list[tuple[int | None, int | None, int]] = []
-    for now in _in_order(frames):
-        if seen:
+            yield from self.start(now, now.n_in)
+        self.seen = True
+
+
+class _FoldPower(_Fold):
+    def step(self, now: Any) -> Iterator[tuple[int | None, int | None, int]]:
+        if self.seen:
             late = now.n_suspend
-            if pending is not None and now.n_suspend + now.n_delete:
-                rows.append((pending, now.sec, 1))
-                pending, late = None, max(late - 1, 0)
+            if self.pending is not None and now.n_suspend + now.n_delete:
+                yield self.pending, now.sec, 1
+                self.pending, late = None, max(late - 1, 0)
             if late:
-                rows.append((None, now.sec, late))
+                yield None, now.sec, late
         if now.n_on:
-            if pending is not None:
-                rows.append((pending, None, 1))
-            if now.n_on > 1:
-                rows.append((now.sec, None, now.n_on - 1))
-            pending, seen = now.sec, True
-    state.update((pending, seen))
-    yield _emit(key[0], rows)
-
-
-def _stateful(instants: DataFrame, fold: Any, opened: str, closed: str) -> DataFrame:
-    rows = instants.groupBy("vm_name").applyInPandasWithState(
-        fold, ROWS, STATE, "append", "NoTimeout"
+            yield from self.start(now, now.n_on)
+            self.seen = True
+
+
+def _stateful(instants: DataFrame, fold: _Fold, opened: str, closed: str) -> DataFrame:
+    rows = instants.groupBy("vm_name").transformWithStateInPandas(
+        statefulProcessor=fold, outputStructType=ROWS, outputMode="append", timeMode="None"
     )
 
     def time(column: str) -> Column:
@@ -112,7 +125,7 @@ def stream_sessions(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
     instants = _instants(
         events, "dt", delay, n_in=F.col("action") == "in", n_out=F.col("action") == "out"
     )
-    return _stateful(instants, _pair_sessions, "login_ts", "logout_ts")
+    return _stateful(instants, _PairSessions(), "login_ts", "logout_ts")
 
 
 def stream_uptime(ops: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -126,4 +139,4 @@ def stream_uptime(ops: DataFrame, delay: str = "10 minutes") -> DataFrame:
         ops.filter(op.isin(POWER_ON, SUSPEND, DELETE)), "ts", delay,
         n_on=op == POWER_ON, n_suspend=op == SUSPEND, n_delete=op == DELETE,
     )
-    return _stateful(instants, _fold_power, "power_on", "power_off")
+    return _stateful(instants, _FoldPower(), "power_on", "power_off")
