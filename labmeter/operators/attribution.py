@@ -26,35 +26,29 @@ from labmeter.functions.text import DAY, HOUR, MINUTE
 CELL_UNITS = (DAY, HOUR, MINUTE, 1)
 
 
-def _span(first: Column, stop: Column) -> Column:
-    """Numbers from `first` up to but not including `stop`; none if that is empty."""
-    none = F.array().cast("array<bigint>")
-    return F.when(first < stop, F.sequence(first, stop - 1)).otherwise(none)
-
-
-def _tagged(cells: Column, unit: int) -> Column:
-    return F.transform(
-        cells, lambda cell: F.struct(F.lit(unit).alias("unit"), cell.alias("cell"))
-    )
-
-
-def _cells(start: Column, stop: Column) -> Column:
-    """Calendar cells that tile [start, stop) in epoch seconds, each as large as possible.
+def _ranges(start: Column, stop: Column) -> Column:
+    """Runs of calendar cells that tile [start, stop) in epoch seconds, each cell as large
+    as possible: an array of (unit, first, end), cells from `first` up to but not `end`.
 
     Where a coarse unit fits at all, a finer one only has to fill the two edges.
     """
-    tiles = []
+    runs = []
     inner: tuple[Column, Column] | None = None
+
+    def run(unit: int, first: Column, end: Column) -> None:
+        runs.append(F.struct(F.lit(unit).alias("unit"), first.alias("first"), end.alias("end")))
+
     for unit in CELL_UNITS:
         low, high = -floor_div(-start, unit), floor_div(stop, unit)
-        cells = _span(low, high)
-        if inner is not None:
+        if inner is None:
+            run(unit, low, high)
+        else:
             left, right = inner
-            edges = F.concat(_span(low, int_div(left, unit)), _span(int_div(right, unit), high))
-            cells = F.when(left < right, edges).otherwise(cells)
-        tiles.append(_tagged(cells, unit))
+            fits = left < right
+            run(unit, low, F.when(fits, int_div(left, unit)).otherwise(high))
+            run(unit, F.when(fits, int_div(right, unit)).otherwise(high), high)
         inner = (low * unit, high * unit)
-    return F.concat(*tiles)
+    return F.array(*runs)
 
 
 def reservation_cells(reservations: DataFrame) -> DataFrame:
@@ -69,9 +63,13 @@ def reservation_cells(reservations: DataFrame) -> DataFrame:
         F.lower("rdp").alias("rdp"), "vm_name",
         epoch_of(F.col("start_ts")).alias("start"), (epoch_of(F.col("end_ts")) + 1).alias("stop"),
     )
-    tiles = valid.select(
+    runs = valid.select(
         "rdp", F.struct((-F.col("start")).alias("age"), "vm_name").alias("rank"),
-        F.inline(_cells(F.col("start"), F.col("stop"))),
+        F.inline(_ranges(F.col("start"), F.col("stop"))),
+    ).filter(F.col("first") < F.col("end"))
+    tiles = runs.select(
+        "rdp", "rank", "unit",
+        F.explode(F.sequence(F.col("first"), F.col("end") - 1)).alias("cell"),
     )
     return tiles.groupBy("rdp", "unit", "cell").agg(
         F.count(F.lit(1)).alias("n"), F.min("rank").alias("best")

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from labmeter.functions.clock import epoch_of, moment
@@ -31,6 +31,16 @@ def known_time(ts: Column) -> Column:
     return F.nullif(ts, moment(BEGINNING))
 
 
+def spread_group(df: DataFrame, *columns: Column) -> GroupedData:
+    """Group by one struct, `key`, instead of by its columns.
+
+    Spark then always shuffles by all of them. Grouping by plain columns would
+    keep a layout by VM left by an earlier join: a busy VM would stay whole in
+    one task, and its skewed join could not be split at run time.
+    """
+    return df.groupBy(F.struct(*columns).alias("key"))
+
+
 def collapse(events: DataFrame, keys: Sequence[str], ts: str, **counted: Column) -> DataFrame:
     """One row per key and instant; each named condition becomes a count of rows.
 
@@ -39,7 +49,8 @@ def collapse(events: DataFrame, keys: Sequence[str], ts: str, **counted: Column)
     """
     counts = [F.count_if(condition).alias(name) for name, condition in counted.items()]
     instant = F.coalesce(F.col(ts), moment(BEGINNING)).alias(ts)
-    return events.dropna(subset=list(keys)).groupBy(*keys, instant).agg(*counts)
+    known = events.dropna(subset=list(keys))
+    return spread_group(known, *map(F.col, keys), instant).agg(*counts).select("key.*", *counted)
 
 
 def with_neighbours(
@@ -111,17 +122,22 @@ def repeat_rows(df: DataFrame, times: Column, index: str = "copy") -> DataFrame:
 
 
 def unfold(df: DataFrame, times: str, index: str) -> DataFrame:
-    """Each row as often as column `times` says.
+    """Each row as often as column `times` says, numbered from 1 in `index`.
 
     A row with many copies is cut into blocks that are spread over the cluster
     before they unfold, so no task has to write a whole group.
     """
-    last_block = int_div(F.col(times) - 1, COPIES_PER_BLOCK)
-    first = F.col("_block") * COPIES_PER_BLOCK + 1
-    last = F.least(F.col(times), (F.col("_block") + 1) * COPIES_PER_BLOCK)
-    return (
-        df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
-        .repartition(*df.columns, "_block")
-        .withColumn(index, F.explode(F.sequence(first, last)))
-        .drop("_block")
-    )
+    return unfold_blocks(cut_blocks(df, times).repartition(*df.columns, "block"), times, index)
+
+
+def cut_blocks(df: DataFrame, times: str) -> DataFrame:
+    """One row per `COPIES_PER_BLOCK` copies, numbered from 0 in `block`."""
+    last = int_div(F.col(times) - 1, COPIES_PER_BLOCK)
+    return df.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+
+
+def unfold_blocks(blocks: DataFrame, times: str, index: str) -> DataFrame:
+    """The copies of each block, where the block is; keeps the order of rows."""
+    first = F.col("block") * COPIES_PER_BLOCK + 1
+    last = F.least(F.col(times), (F.col("block") + 1) * COPIES_PER_BLOCK)
+    return blocks.withColumn(index, F.explode(F.sequence(first, last))).drop("block")

@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 
 from labmeter.functions.clock import moment
 from labmeter.functions.status import is_active, power_action
-from labmeter.operators.ordered import collapse, known_time, repeat_rows, with_neighbours
+from labmeter.operators.ordered import (
+    collapse,
+    known_time,
+    repeat_rows,
+    spread_group,
+    with_neighbours,
+)
 
 KEYS = ("vm_name",)
 KIND_KEYS = ("vm_name", "kind")
@@ -47,7 +53,7 @@ def closing_events(
     active = reservations.filter(is_active(F.col("end_ts"), now)).select("vm_name")
     keys = [c for c in timeline.columns if c in KIND_KEYS]
     return (
-        timeline.select(*keys).distinct()
+        spread_group(timeline, *map(F.col, keys)).count().select("key.*")
         .join(active, "vm_name", "left_semi")
         .withColumn("dt", moment(now)).withColumn("action", F.lit("out"))
     )

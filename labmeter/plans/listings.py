@@ -20,6 +20,7 @@ from labmeter.functions.status import (
     report_filter,
 )
 from labmeter.operators.lifetimes import with_employee
+from labmeter.operators.ordered import cut_blocks, spread_group, unfold_blocks
 from labmeter.operators.sessions import KIND_KEYS, login_timeline, power_timeline, session_pairs
 
 Clock = Column | datetime | str
@@ -27,9 +28,16 @@ Filters = Mapping[str, Sequence[str]]
 
 
 def sorted_report(df: DataFrame, spec: Sequence[tuple[str, str]]) -> DataFrame:
-    """Order rows by (column, "asc" or "desc") pairs; NULL sorts low, as in the original."""
+    """Order rows by (column, "asc" or "desc") pairs; NULL sorts low, as in the original.
+
+    A range sort cannot split equal keys. So equal rows are counted first and
+    unfold after the sort, and ties are broken by a hash of the row.
+    """
     order = {"asc": Column.asc_nulls_first, "desc": Column.desc_nulls_last}
-    return df.orderBy(*[order[direction](F.col(name)) for name, direction in spec])
+    wanted = [order[direction](F.col(f"key.{name}")) for name, direction in spec]
+    counted = spread_group(df, *map(F.col, df.columns)).agg(F.count(F.lit(1)).alias("times"))
+    ordered = cut_blocks(counted, "times").orderBy(*wanted, F.xxhash64("key"), "block")
+    return unfold_blocks(ordered, "times", "copy").select("key.*")
 
 
 def _labelled(reservations: DataFrame, now: Clock) -> DataFrame:

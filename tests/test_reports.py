@@ -3,7 +3,7 @@
 from datetime import datetime
 
 import __spark_entry__ as entry_points
-from labmeter.operators import changes, lifetimes, pivots
+from labmeter.operators import changes, lifetimes, ordered, pivots
 from labmeter.plans import listings, usage
 from tests.helpers import NOW, at, employees, plan_of, reservations, rows
 
@@ -211,3 +211,31 @@ def test_windows_work_on_slices_and_share_one_shuffle(spark):
     windows = [line for line in final.splitlines() if " Window [" in line]
     assert windows and all("slice" in line for line in windows)
     assert "ReusedExchange [vm_name" in final
+
+
+def test_no_stage_keeps_a_busy_lab_whole(spark, tmp_path):
+    """Over stored tables too large to broadcast, work on raw events follows an exchange by
+    VM and second, so a join before it can be split and copies shrink before they move."""
+    for name, df in {"in": logins(spark), "out": logouts(spark), "log": power(spark),
+                     "res": labs(spark)}.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    stored = [spark.read.parquet(f"{tmp_path}/{n}") for n in ("res", "in", "out", "log")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(usage.usage_persistent(*stored, NOW, {"labs": ["Lab A"]}))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    steps = [line.split("#")[0] for line in plan.splitlines() if "Exchange" in line]
+    assert any("_groupingexpression" in step for step in steps), steps
+    for line in plan.splitlines():
+        if " Window [" in line:
+            keys = line.rsplit("], [", 2)[1]
+            assert "slice" in line and keys.startswith("vm_name"), line
+    assert "SortMergeJoin [vm_name" in plan and "slice" in plan
+
+
+def test_sorted_report_keeps_copies(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "COPIES_PER_BLOCK", 3)
+    df = table(spark, "a int, b string", [(1, "x")] * 10 + [(2, "y")] + [(2, None)] * 4)
+    found = [tuple(r) for r in listings.sorted_report(df, [("a", "desc"), ("b", "asc")]).collect()]
+    assert found == [(2, None)] * 4 + [(2, "y")] + [(1, "x")] * 10
