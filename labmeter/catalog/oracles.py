@@ -234,8 +234,9 @@ def _usage_regular() -> str:
     life = f"date_sub('second', l.start_ts, {_until_now('l.end_ts')})"
     return _with(f"""
         SELECT l.vm_name, {_owner('l.vm_name')} AS owner, l.lab,
-               {_created_text('l.vm_name')} AS created_text, {_state('l.end_ts')} AS state,
-               {_duration(life)} AS total_duration, {_pct('g.total', life)} AS active_pct
+               {_created_text('l.vm_name')} AS created_text, l.start_ts,
+               {_state('l.end_ts')} AS state, {_duration(life)} AS total_duration,
+               {_pct('g.total', life)} AS active_pct
         FROM labs l JOIN login_seconds g ON g.vm_name = l.vm_name
         WHERE l.vm_name NOT LIKE '%-Persistent-%' AND {_usage_where(USAGE_FILTERS)}""",
                  "labs", "login_seconds")

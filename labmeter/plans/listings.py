@@ -26,6 +26,15 @@ from labmeter.operators.sessions import KIND_KEYS, login_timeline, power_timelin
 Clock = Column | datetime | str
 Filters = Mapping[str, Sequence[str]]
 
+# The order each report is read in, for `sorted_report`. The timeline sorts itself.
+REPORT_ORDER = {
+    "first_last_seen": [("vm_name", "asc")],
+    "usage_persistent": [("state", "asc"), ("created_text", "desc")],
+    "usage_regular": [("state", "asc"), ("start_ts", "desc")],
+    "session_list": [("vm_name", "asc"), ("login_time", "asc")],
+    "extract_changes": [("modified", "asc")],
+}
+
 
 def sorted_report(df: DataFrame, spec: Sequence[tuple[str, str]]) -> DataFrame:
     """Order rows by (column, "asc" or "desc") pairs; NULL sorts low, as in the original.

@@ -86,7 +86,7 @@ def usage_regular(
     life = lifetime_seconds(F.col("start_ts"), F.col("end_ts"), now)
     return labs.join(totals, "vm_name").select(
         "vm_name", vm_owner(vm).alias("owner"), "lab", vm_created_text(vm).alias("created_text"),
-        "state", duration_text(life).alias("total_duration"),
+        "start_ts", "state", duration_text(life).alias("total_duration"),
         pct_text(F.col("total"), life).alias("active_pct"),
     )
 

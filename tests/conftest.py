@@ -6,19 +6,16 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from labmeter.streaming.state import STATE_STORE  # noqa: E402
+from labmeter.session import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = (
-        SparkSession.builder.master("local[8]").appName("tests")
+        configure(SparkSession.builder).master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

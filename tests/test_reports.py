@@ -64,7 +64,7 @@ def test_usage_regular(spark):
         labs(spark), logins(spark, (R, at("09:00")), (P, at("09:00"))),
         logouts(spark, (R, at("10:00"))), NOW)
     assert [tuple(r)[1:] for r in report.collect()] == [
-        ("bob", "Lab B", MADE, "Active", "0 days 4 hours 0 minutes 0 seconds", "25.0%")
+        ("bob", "Lab B", MADE, at("08:00"), "Active", "0 days 4 hours 0 minutes 0 seconds", "25.0%")
     ]
     endless = usage.usage_regular(
         labs(spark, end_ts=None), logins(spark, (R, at("09:00"))), logouts(spark), NOW)
@@ -239,3 +239,15 @@ def test_sorted_report_keeps_copies(spark, monkeypatch):
     df = table(spark, "a int, b string", [(1, "x")] * 10 + [(2, "y")] + [(2, None)] * 4)
     found = [tuple(r) for r in listings.sorted_report(df, [("a", "desc"), ("b", "asc")]).collect()]
     assert found == [(2, None)] * 4 + [(2, "y")] + [(1, "x")] * 10
+
+
+def test_report_orders_name_real_columns(spark):
+    queries = entry_points.queries()
+    for name, order in listings.REPORT_ORDER.items():
+        query = queries["extract_changes_all" if name == "extract_changes" else name]
+        report = listings.sorted_report(query(spark, DIR), order)
+        found = [tuple(r) for r in report.select(*[c for c, _ in order]).collect()]
+        column, direction = order[0]
+        first = [row[0] for row in found]
+        assert first == sorted(first, reverse=direction == "desc"), name
+        assert len(found) == query(spark, DIR).count()
