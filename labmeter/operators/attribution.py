@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from labmeter.functions.clock import epoch_of, moment
 from labmeter.functions.numbers import floor_div, int_div
 from labmeter.functions.text import DAY, HOUR, MINUTE
+from labmeter.operators.ordered import spread_group
 
 CELL_UNITS = (DAY, HOUR, MINUTE, 1)
+MOMENT = ["address", "ts"]
 
 
 def _ranges(start: Column, stop: Column) -> Column:
@@ -104,34 +106,38 @@ def _probes(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     return events.select(*keys, "rdp", F.inline(asked))
 
 
-def _lookup(events: DataFrame, sources: Sequence[DataFrame], exact: bool) -> DataFrame:
-    """(event_id, source, n, best) for events that some source covers.
+def _moments(events: DataFrame) -> DataFrame:
+    """Distinct (address, ts): what an attribution depends on. Copies shrink before they move."""
+    known = events.filter(F.col("address").isNotNull() & F.col("ts").isNotNull())
+    return spread_group(known, F.col("address"), F.col("ts")).count().select("key.*")
+
+
+def _lookup(moments: DataFrame, sources: Sequence[DataFrame], exact: bool) -> DataFrame:
+    """(address, ts, source, vm_name, match_count) for moments that some source covers.
 
     Of several sources the first that matches counts.
     """
     cells = reduce(DataFrame.unionByName, [
         reservation_cells(source).withColumn("source", F.lit(i)) for i, source in enumerate(sources)
     ])
-    known = events.select("event_id", "address", "ts")
     if exact:
-        located = known.withColumn("rdp", F.lower("address"))
+        located = moments.withColumn("rdp", F.lower("address"))
     else:
         rdps = reduce(DataFrame.union, [source.select("rdp") for source in sources])
-        located = known.join(address_matches(known, rdps), "address")
-    hits = _probes(located, ["event_id"]).join(cells, ["rdp", "unit", "cell"])
+        located = moments.join(address_matches(moments, rdps), "address")
+    hits = _probes(located, MOMENT).join(cells, ["rdp", "unit", "cell"])
 
     counts = [
         F.coalesce(F.sum(F.when(F.col("source") == i, F.col("n"))), F.lit(0)).alias(f"n_{i}")
         for i in range(len(sources))
     ]
     best = F.min(F.struct("source", "best.age", "best.vm_name")).alias("top")
-    per_event = hits.groupBy("event_id").agg(best, *counts)
     chosen = reduce(
         lambda otherwise, i: F.when(F.col("top.source") == i, F.col(f"n_{i}")).otherwise(otherwise),
         range(1, len(sources)), F.col("n_0"),
     )
-    return per_event.select(
-        "event_id", F.col("top.source").alias("source"), F.col("top.vm_name").alias("vm_name"),
+    return hits.groupBy(*MOMENT).agg(best, *counts).select(
+        *MOMENT, F.col("top.source").alias("source"), F.col("top.vm_name").alias("vm_name"),
         chosen.alias("match_count"),
     )
 
@@ -143,27 +149,29 @@ def attribute_events(
     exact: bool = False,
     overrides: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Events (event_id, address, ts, ...) with `vm_name` and `match_count`.
+    """Events (address, ts, ...) with `vm_name` and `match_count`.
 
-    `event_id` is unique. Without a match `vm_name` is NULL and `match_count` 0:
-    see `rejected`. With several the latest start wins, then the name. `now`
-    asks for one moment in place of each event's time; `exact` wants the whole
-    address equal to the RDP text. `overrides` gives fixed names to addresses
-    that contain a text, before any lookup.
+    Without a match `vm_name` is NULL and `match_count` 0: see `rejected`. With
+    several the latest start wins, then the name. `now` asks for one moment in
+    place of each event's time; `exact` wants the whole address equal to the RDP
+    text. `overrides` gives fixed names to addresses that contain a text, before
+    any lookup.
     """
     fixed = F.lit(None).cast("string")
     for part, name in reversed(list((overrides or {}).items())):
         fixed = F.when(F.col("address").contains(part), name).otherwise(fixed)
     asked = events.withColumn("fixed_name", fixed)
-    open_events = asked.filter(F.col("fixed_name").isNull())
+    looked_up = asked.filter(F.col("fixed_name").isNull())
+    keys = MOMENT
     if now is not None:
-        open_events = open_events.withColumn("ts", moment(now))
-    found = _lookup(open_events, [reservations], exact).drop("source")
-    return asked.join(found, "event_id", "left").select(
-        *events.columns,
-        F.coalesce("fixed_name", "vm_name").alias("vm_name"),
-        F.when(F.col("fixed_name").isNotNull(), 1).otherwise(F.coalesce("match_count", F.lit(0)))
-        .alias("match_count"),
+        looked_up, keys = looked_up.withColumn("ts", moment(now)), ["address"]
+    found = _lookup(_moments(looked_up), [reservations], exact).select(
+        *keys, F.col("vm_name").alias("found_name"), F.col("match_count").alias("found")
+    )
+    matches = F.when(F.col("fixed_name").isNotNull(), 1).otherwise(F.coalesce("found", F.lit(0)))
+    return asked.join(found, keys, "left").select(
+        *events.columns, F.coalesce("fixed_name", "found_name").alias("vm_name"),
+        matches.alias("match_count"),
     )
 
 
@@ -182,7 +190,8 @@ def lookup_first(
 
     Adds `source`, the position in `sources`, to the columns of `attribute_events`.
     """
-    return events.join(_lookup(events, sources, exact), "event_id")
+    found = _lookup(_moments(events), sources, exact)
+    return events.join(found, MOMENT).select(*events.columns, "source", "vm_name", "match_count")
 
 
 def route_by_prefix(

@@ -29,7 +29,7 @@ def stream_attribute(
     overrides: Mapping[str, str] | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Attribute a stream of (event_id, ts, action, address) and store it by target table.
+    """Attribute a stream of (ts, action, address, ...) and store it by target table.
 
     A micro-batch writes one folder of its own, so a repeated batch replaces its
     earlier attempt. Events that match no reservation go to `target=Rejected`.

@@ -74,6 +74,18 @@ def test_brute_force(spark, exact):
     assert attribute(spark, events, labs, exact=exact) == brute_force(events, labs, exact)
 
 
+def test_copies_need_no_id(spark):
+    labs = [lab("one", "10.240.1.1", at("08:00"), at("10:00"))]
+    events = spark.createDataFrame(
+        [(at("09:00"), "10.240.1.1")] * 3 + [(at("09:00"), "10.9.9.9")] * 2 + [(None, None)],
+        "ts timestamp_ntz, address string")
+    assert rows(attribution.attribute_events(events, reservations(spark, labs))) == {
+        (at("09:00"), "10.240.1.1", "one", 1): 3, (at("09:00"), "10.9.9.9", None, 0): 2,
+        (None, None, None, 0): 1,
+    }
+    assert attribution.lookup_first(events, [reservations(spark, labs)]).count() == 3
+
+
 def test_first_source_wins(spark):
     main = reservations(spark, [lab("main", "10.240.1.1", at("08:00"), at("10:00"))])
     dev = reservations(spark, [lab("dev", "10.240.1.1", at("09:00"), at("11:00")),
