@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labmeter.functions.clock import epoch_of, moment
-from labmeter.functions.numbers import floor_div, int_div
 from labmeter.functions.text import DAY, HOUR, MINUTE
 from labmeter.operators.ordered import spread_group
 
@@ -28,29 +27,35 @@ CELL_UNITS = (DAY, HOUR, MINUTE, 1)
 MOMENT = ["address", "ts"]
 
 
-def _ranges(start: Column, stop: Column) -> Column:
-    """Runs of calendar cells that tile [start, stop) in epoch seconds, each cell as large
-    as possible: an array of (unit, first, end), cells from `first` up to but not `end`.
+def _floor(value: str, unit: int) -> str:
+    return f"({value} - pmod({value}, {unit})) div {unit}"
 
-    Where a coarse unit fits at all, a finer one only has to fill the two edges.
-    """
-    runs = []
-    inner: tuple[Column, Column] | None = None
 
-    def run(unit: int, first: Column, end: Column) -> None:
-        runs.append(F.struct(F.lit(unit).alias("unit"), first.alias("first"), end.alias("end")))
+def _runs(intervals: DataFrame) -> DataFrame:
+    """(rdp, rank, unit, first, end): runs of calendar cells, from `first` up to but not `end`,
+    that tile [start, stop) in epoch seconds with cells as large as possible.
 
+    Where a coarse unit fits at all, a finer one only has to fill the two edges.
+    """
+    bounds, runs = [], []
+    coarser: int | None = None
     for unit in CELL_UNITS:
-        low, high = -floor_div(-start, unit), floor_div(stop, unit)
-        if inner is None:
-            run(unit, low, high)
+        low, high = f"low_{unit}", f"high_{unit}"
+        bounds += [f"-({_floor('-start', unit)}) AS {low}", f"{_floor('stop', unit)} AS {high}"]
+        if coarser is None:
+            runs.append(f"struct({unit} AS unit, {low} AS first, {high} AS end)")
         else:
-            left, right = inner
-            fits = left < right
-            run(unit, low, F.when(fits, int_div(left, unit)).otherwise(high))
-            run(unit, F.when(fits, int_div(right, unit)).otherwise(high), high)
-        inner = (low * unit, high * unit)
-    return F.array(*runs)
+            fits = f"low_{coarser} < high_{coarser}"
+            left = f"if({fits}, low_{coarser} * {coarser // unit}, {high})"
+            right = f"if({fits}, high_{coarser} * {coarser // unit}, {high})"
+            runs.append(f"struct({unit} AS unit, {low} AS first, {left} AS end)")
+            runs.append(f"struct({unit} AS unit, {right} AS first, {high} AS end)")
+        coarser = unit
+    return (
+        intervals.selectExpr("rdp", "rank", *bounds)
+        .selectExpr("rdp", "rank", f"inline(array({', '.join(runs)}))")
+        .filter("first < end")
+    )
 
 
 def reservation_cells(reservations: DataFrame) -> DataFrame:
@@ -59,19 +64,14 @@ def reservation_cells(reservations: DataFrame) -> DataFrame:
     `best` orders by latest start, then by name. One row per RDP and cell; the
     merge combines map-side.
     """
-    valid = reservations.filter(
-        F.col("rdp").isNotNull() & (F.col("start_ts") <= F.col("end_ts"))
-    ).select(
-        F.lower("rdp").alias("rdp"), "vm_name",
+    valid = reservations.filter("rdp IS NOT NULL AND start_ts <= end_ts").select(
+        F.lower("rdp").alias("rdp"),
         epoch_of(F.col("start_ts")).alias("start"), (epoch_of(F.col("end_ts")) + 1).alias("stop"),
+        "vm_name",
     )
-    runs = valid.select(
-        "rdp", F.struct((-F.col("start")).alias("age"), "vm_name").alias("rank"),
-        F.inline(_ranges(F.col("start"), F.col("stop"))),
-    ).filter(F.col("first") < F.col("end"))
-    tiles = runs.select(
-        "rdp", "rank", "unit",
-        F.explode(F.sequence(F.col("first"), F.col("end") - 1)).alias("cell"),
+    ranked = valid.selectExpr("rdp", "start", "stop", "struct(-start AS age, vm_name) AS rank")
+    tiles = _runs(ranked).selectExpr(
+        "rdp", "rank", "unit", "explode(sequence(first, end - 1)) AS cell"
     )
     return tiles.groupBy("rdp", "unit", "cell").agg(
         F.count(F.lit(1)).alias("n"), F.min("rank").alias("best")
@@ -83,27 +83,21 @@ def address_matches(addresses: DataFrame, rdps: DataFrame) -> DataFrame:
     texts = addresses.select("address").filter(F.col("address").isNotNull()).distinct()
     known = rdps.select(F.lower("rdp").alias("rdp")).filter(F.col("rdp").isNotNull()).distinct()
     lengths = known.agg(F.collect_set(F.length("rdp")).alias("lengths")).scalar()
-    places = F.col("size") - F.col("length") + 1
     parts = (
-        texts.select("address", F.length("address").alias("size"), F.explode(lengths).alias("length"))
-        .filter(F.col("length") <= F.col("size"))
-        .select("address", "length", F.explode(F.sequence(F.lit(1), places)).alias("place"))
-        .select(
-            "address",
-            F.substring(F.lower("address"), F.col("place"), F.col("length")).alias("rdp"),
-        )
+        texts.select("address", F.explode(lengths).alias("size"))
+        .filter("size <= length(address)")
+        .selectExpr("address", "size", "explode(sequence(1, length(address) - size + 1)) AS place")
+        .selectExpr("address", "substring(lower(address), place, size) AS rdp")
         .distinct()
     )
     return parts.join(known, "rdp").select("address", "rdp")
 
 
-def _probes(events: DataFrame, keys: Sequence[str]) -> DataFrame:
-    at = epoch_of(F.col("ts"))
-    asked = F.array(*[
-        F.struct(F.lit(unit).alias("unit"), floor_div(at, unit).alias("cell"))
-        for unit in CELL_UNITS
-    ])
-    return events.select(*keys, "rdp", F.inline(asked))
+def _probes(moments: DataFrame) -> DataFrame:
+    """The cells each moment lies in, one per unit."""
+    asked = ", ".join(f"struct({u} AS unit, {_floor('at', u)} AS cell)" for u in CELL_UNITS)
+    timed = moments.withColumn("at", epoch_of(F.col("ts")))
+    return timed.selectExpr(*MOMENT, "rdp", f"inline(array({asked}))")
 
 
 def _moments(events: DataFrame) -> DataFrame:
@@ -125,20 +119,14 @@ def _lookup(moments: DataFrame, sources: Sequence[DataFrame], exact: bool) -> Da
     else:
         rdps = reduce(DataFrame.union, [source.select("rdp") for source in sources])
         located = moments.join(address_matches(moments, rdps), "address")
-    hits = _probes(located, MOMENT).join(cells, ["rdp", "unit", "cell"])
-
-    counts = [
-        F.coalesce(F.sum(F.when(F.col("source") == i, F.col("n"))), F.lit(0)).alias(f"n_{i}")
-        for i in range(len(sources))
-    ]
-    best = F.min(F.struct("source", "best.age", "best.vm_name")).alias("top")
-    chosen = reduce(
-        lambda otherwise, i: F.when(F.col("top.source") == i, F.col(f"n_{i}")).otherwise(otherwise),
-        range(1, len(sources)), F.col("n_0"),
-    )
-    return hits.groupBy(*MOMENT).agg(best, *counts).select(
-        *MOMENT, F.col("top.source").alias("source"), F.col("top.vm_name").alias("vm_name"),
-        chosen.alias("match_count"),
+    hits = _probes(located).join(cells, ["rdp", "unit", "cell"])
+
+    best = F.expr("min(struct(source, best.age, best.vm_name)) AS top")
+    counts = [F.expr(f"sum(n) FILTER (WHERE source = {i}) AS n_{i}") for i in range(len(sources))]
+    cases = " ".join(f"WHEN {i} THEN n_{i}" for i in range(len(sources)))
+    return hits.groupBy(*MOMENT).agg(best, *counts).selectExpr(
+        *MOMENT, "top.source AS source", "top.vm_name AS vm_name",
+        f"CASE top.source {cases} END AS match_count",
     )
 
 

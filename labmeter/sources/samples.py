@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labmeter.functions.clock import whole_second
@@ -33,10 +33,6 @@ COLUMNS = {
 }
 
 
-def _days(n: Column) -> Column:
-    return F.make_dt_interval(days=n.cast("int"))
-
-
 class SampleTables:
     """The usage tables of one sample folder; each is built once, when first asked for."""
 
@@ -53,20 +49,18 @@ class SampleTables:
     @cached_property
     def labs(self) -> DataFrame:
         """user_id, vm_name, lab, email, rdp, start_ts, end_ts."""
-        user = F.col("user_id")
-        owner = F.concat(F.lit("user"), user % 30)
-        mark = F.when(user % 2 == 0, "-Persistent-(").otherwise("-(")
         firsts = self._events.groupBy("user_id").agg(F.min("ts").alias("first_ts"))
-        return firsts.select(
-            "user_id", F.concat(F.lit("Lab "), user % 5).alias("lab"),
-            whole_second(F.col("first_ts")).alias("start_ts"),
-        ).select(
-            "user_id",
-            F.concat("lab", mark, owner, F.lit(")-"),
-                     F.date_format("start_ts", CREATED_FORMAT), F.lit(":000001")).alias("vm_name"),
-            "lab", F.concat(owner, F.lit("@example.com")).alias("email"),
-            F.concat(F.lit("10.240."), user % 7, F.lit("."), user).alias("rdp"),
-            "start_ts", (F.col("start_ts") + _days(user % 40 + 5)).alias("end_ts"),
+        named = firsts.select("user_id", whole_second(F.col("first_ts")).alias("start_ts")).selectExpr(
+            "user_id", "start_ts", "concat('Lab ', user_id % 5) AS lab",
+            "concat('user', user_id % 30) AS owner",
+            "if(user_id % 2 = 0, '-Persistent-(', '-(') AS mark",
+            f"concat(date_format(start_ts, '{CREATED_FORMAT}'), ':000001') AS created",
+        )
+        return named.selectExpr(
+            "user_id", "concat(lab, mark, owner, ')-', created) AS vm_name", "lab",
+            "concat(owner, '@example.com') AS email",
+            "concat('10.240.', user_id % 7, '.', user_id) AS rdp",
+            "start_ts", "start_ts + make_dt_interval(int(user_id % 40 + 5)) AS end_ts",
         )
 
     @cached_property
@@ -95,56 +89,47 @@ class SampleTables:
 
     @cached_property
     def power_log(self) -> DataFrame:
-        operation = F
-        for kind in OP_OF_TYPE:
-            operation = operation.when(F.col("event_type") == kind, OPERATION_OF_TYPE[kind])
-        return self._of_types(*OP_OF_TYPE).select(
-            "vm_name", F.col("ts").alias("log_ts"), operation.alias("operation")
+        cases = " ".join(f"WHEN '{kind}' THEN '{OPERATION_OF_TYPE[kind]}'" for kind in OP_OF_TYPE)
+        return self._of_types(*OP_OF_TYPE).selectExpr(
+            "vm_name", "ts AS log_ts", f"CASE event_type {cases} END AS operation"
         )
 
     @cached_property
     def power_ops(self) -> DataFrame:
-        code = F
-        for kind, op in OP_OF_TYPE.items():
-            code = code.when(F.col("event_type") == kind, op)
-        return self._of_types(*OP_OF_TYPE).select("vm_name", "ts", code.alias("op"))
+        cases = " ".join(f"WHEN '{kind}' THEN {op}" for kind, op in OP_OF_TYPE.items())
+        return self._of_types(*OP_OF_TYPE).selectExpr(
+            "vm_name", "ts", f"CASE event_type {cases} END AS op"
+        )
 
     @cached_property
     def employees(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return (
-            self._read("customer")
-            .join(self._read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(self._read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                F.concat(F.lit("user"), key, F.lit("@example.com")).alias("email"),
-                F.col("c_name").alias("full_name"), F.col("r_name").alias("region"),
-                F.col("n_name").alias("location"),
-                F.concat(F.lit("Manager "), F.col("c_nationkey") % 7).alias("manager"),
-                F.concat(F.lit("Unit "), F.col("c_nationkey") % 3).alias("business_unit"),
-                F.col("c_mktsegment").alias("department"),
-                F.concat(F.lit("Title "), key % 4).alias("business_title"),
-                F.when(key % 3 == 0, True).when(key % 3 == 1, False).alias("ase"),
-            )
+        staff = self._read("customer").join(
+            self._read("nation"), F.col("c_nationkey") == F.col("n_nationkey")
+        ).join(self._read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        return staff.selectExpr(
+            "concat('user', c_custkey, '@example.com') AS email", "c_name AS full_name",
+            "r_name AS region", "n_name AS location",
+            "concat('Manager ', c_nationkey % 7) AS manager",
+            "concat('Unit ', c_nationkey % 3) AS business_unit", "c_mktsegment AS department",
+            "concat('Title ', c_custkey % 4) AS business_title",
+            "CASE c_custkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS ase",
         )
 
     @cached_property
     def order_reservations(self) -> DataFrame:
         """A larger reservations table for summaries and pivots, without an RDP."""
-        order, start = F.col("o_orderkey"), F.col("o_orderdate")
-        return self._read("orders").select(
-            F.concat(F.lit("vm-"), order).alias("vm_name"),
-            F.concat(F.lit("user"), F.col("o_custkey"), F.lit("@example.com")).alias("email"),
-            F.col("o_orderpriority").alias("lab"), start.alias("start_ts"),
-            (start + _days(order % 30 + 1)).alias("end_ts"),
+        return self._read("orders").selectExpr(
+            "concat('vm-', o_orderkey) AS vm_name",
+            "concat('user', o_custkey, '@example.com') AS email", "o_orderpriority AS lab",
+            "o_orderdate AS start_ts",
+            "o_orderdate + make_dt_interval(int(o_orderkey % 30 + 1)) AS end_ts",
         )
 
     @cached_property
     def address_events(self) -> DataFrame:
         """Every logon and logoff as a collector sees it: text that holds the address."""
-        action = F.when(F.col("event_type") == "click", "in").otherwise("out")
-        return self._of_types("click", "view").select(
-            "event_id", "ts", action.alias("action"),
-            F.concat(F.lit("Host Name : pc\nIPv4 Address : "), F.col("rdp")).alias("config_text"),
-            F.concat(F.lit("eth0 u/u "), F.col("rdp"), F.lit("/24 LAN")).alias("router_text"),
+        return self._of_types("click", "view").selectExpr(
+            "event_id", "ts", "if(event_type = 'click', 'in', 'out') AS action",
+            "concat('Host Name : pc\\nIPv4 Address : ', rdp) AS config_text",
+            "concat('eth0 u/u ', rdp, '/24 LAN') AS router_text",
         )
