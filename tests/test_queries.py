@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from labmeter.catalog.oracles import ORACLES
+from labmeter.catalog.queries import ALL
 from tests.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = ALL
+SQL = ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,8 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
