@@ -116,9 +116,9 @@ WITH sized AS (
     SELECT *, [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight FROM sources
 ), ordered AS (
     SELECT *, 1.5::DOUBLE * (sum(source_size) OVER ())
-                - coalesce(sum(source_size * 2.0::DOUBLE) OVER (before), 0) AS budget,
+                - coalesce(sum(source_size * 2.0::DOUBLE) OVER (ORDER BY source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS budget,
            sum(weight) OVER (ORDER BY source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
-    FROM weighed WINDOW before AS (ORDER BY source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    FROM weighed
 ), clamped AS (
     SELECT *, budget * weight / open > source_size * 2.0 AS clamped FROM ordered
 ), level AS (

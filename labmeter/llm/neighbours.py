@@ -2,7 +2,7 @@
 
 Inner products become distances by one more component: with m the largest norm of the shard, x is
 extended by sqrt(m * m - |x| * |x|) and a query by 0; the nearest vector then has the largest inner product. A graph is
-built in growing batches: greedy searches from the entry propose neighbours, robust pruning keeps a
+built in growing batches: greedy searches from ENTRIES nodes propose neighbours, robust pruning keeps a
 candidate unless a kept one is ``alpha`` times closer to it than the vector is, and edges get their reverse. Queries
 run a beam search on the graph of every shard, in blocks of queries; results of the shards are merged by rank.
 
@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 
 from labmeter.llm.scratch import keep
 
-SHARD_ROWS = 8192
+SHARD_ROWS = 4096
 QUERY_ROWS = 2048
-DEGREE = 32
+DEGREE = 24
 BEAM = 64
+BUILD_BEAM = 48
 ALPHA = 1.2
+ENTRIES = 64
 BATCH = 512
 
 
@@ -36,15 +38,18 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)
 
 
-def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+def beam_search(points: np.ndarray, edges: np.ndarray, entries: np.ndarray, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """For each query the nodes (-1: none) and squared distances of the final beam, nearest first."""
     count = len(queries)
     ids = np.full((count, beam), -1, np.int64)
     far = np.full((count, beam), np.inf, np.float32)
     done = np.ones((count, beam), bool)
-    ids[:, 0] = entry
-    far[:, 0] = ((queries - points[entry]) ** 2).sum(1)
-    done[:, 0] = False
+    first = ((queries[:, None, :] - points[entries][None, :, :]) ** 2).sum(2)
+    order = np.argsort(first, 1, kind="stable")[:, :beam]
+    begun = order.shape[1]
+    ids[:, :begun] = entries[order]
+    far[:, :begun] = np.take_along_axis(first, order, 1)
+    done[:, :begun] = False
     live = np.arange(count)
     while len(live):
         open_far = np.where(done[live], np.inf, far[live])
@@ -93,17 +98,17 @@ def robust_prune(points: np.ndarray, nodes: np.ndarray, candidates: np.ndarray,
     return found
 
 
-def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA) -> tuple[np.ndarray, int]:
-    """Edges (nodes x degree, -1: none) and the entry, the node nearest to the middle.
+def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: float = ALPHA) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (nodes x degree, -1: none) and the entries: a seeded choice of nodes where searches begin.
 
     A second pass over all nodes lets early nodes see late ones.
     """
     count = len(points)
-    entry = int(((points - points.mean(0)) ** 2).sum(1).argmin())
     edges = np.full((count, degree), -1, np.int64)
     order = np.random.default_rng(7).permutation(count)
-    order = np.concatenate([[entry], order[order != entry]])
-    steps, size, at = [], 1, 1
+    entry = order[:ENTRIES]
+    edges[entry] = robust_prune(points, entry, np.tile(entry, (len(entry), 1)), degree, alpha)
+    steps, size, at = [], ENTRIES, ENTRIES
     while at < count:
         steps.append(order[at:at + size])
         at += size
@@ -132,11 +137,11 @@ def _built(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("least")
     vectors = np.array(rows["vector"].tolist(), np.float64)
     norms = (vectors * vectors).sum(1)
-    extended = np.concatenate([vectors, np.sqrt(norms.max() - norms)[:, None]], 1).astype(np.float32)
+    extended = np.concatenate([vectors, np.sqrt(np.maximum(0, norms.max() - norms))[:, None]], 1).astype(np.float32)
     edges, entry = build_graph(extended)
     number = rows["ids"].map(len).to_numpy(np.int64)
     return pd.DataFrame([{
-        "dim": int(rows["dim"].iloc[0]), "shard": int(rows["shard"].iloc[0]), "n": len(rows), "entry": entry, "vectors": vectors.tobytes(),
+        "dim": int(rows["dim"].iloc[0]), "shard": int(rows["shard"].iloc[0]), "n": len(rows), "entry": entry.astype(np.int64).tobytes(), "vectors": vectors.tobytes(),
         "edges": edges.astype(np.int32).tobytes(), "number": number.tobytes(), "ids": np.concatenate(rows["ids"].to_list()).astype(np.int64).tobytes(),
     }])
 
@@ -152,11 +157,11 @@ def _searched(top: int, beam: int):
                 own = np.frombuffer(row.q_ids, np.int64)
                 queries = np.frombuffer(row.q_vectors, np.float64).reshape(len(own), -1)
                 norms = (vectors * vectors).sum(1)
-                points = np.concatenate([vectors, np.sqrt(norms.max() - norms)[:, None]], 1).astype(np.float32)
+                points = np.concatenate([vectors, np.sqrt(np.maximum(0, norms.max() - norms))[:, None]], 1).astype(np.float32)
                 for low in range(0, len(own), BATCH):
                     some = queries[low:low + BATCH]
                     extended = np.concatenate([some, np.zeros((len(some), 1))], 1).astype(np.float32)
-                    near, _ = beam_search(points, edges, row.entry, extended, beam)
+                    near, _ = beam_search(points, edges, np.frombuffer(row.entry, np.int64), extended, beam)
                     which, slot = np.nonzero(near >= 0)
                     node = near[which, slot]
                     score = (vectors[node] * some[which]).sum(1)
@@ -211,7 +216,7 @@ def nearest(
         spread = F.when(F.col("dim") == r["dim"], math.ceil(asked.get(r["dim"], 0) / query_rows) or 1).otherwise(spread)
     graphs = keep(
         nodes.withColumn("shard", F.pmod(F.xxhash64("key"), shards).cast("int")).groupBy("dim", "shard").applyInPandas(
-            _built, "dim int, shard int, n int, entry int, vectors binary, edges binary, number binary, ids binary"
+            _built, "dim int, shard int, n int, entry binary, vectors binary, edges binary, number binary, ids binary"
         ), "graphs",
     )
     queries = wide.filter("q").select("dim", "id", "vector").distinct()
