@@ -19,10 +19,10 @@ A document's set holds the 64-bit hashes of its distinct shingles. Two sets link
    can link lie in the same or neighbouring size bands, and each set is indexed for its own
    band and the next), so that a document has about as many combinations as tokens.
 4. *Verify.* Documents meet where they share a combination. Each such group checks its
-   members against one of them at a time; members found connected need no more checks, so a
-   group of many near copies costs a line of checks and not all pairs. What is left
-   in small groups is checked pair by pair; large groups are indexed anew with k + 1 tokens.
-   Every check compares whole sets. The rounds end only when no group has
+   members against one of them, then against GROWTH more, and so on; members found connected
+   need no more checks, so a group of many near copies costs a few lines of checks and not all
+   pairs. What is left in small groups is checked pair by pair; large groups are indexed anew with
+   k + 1 tokens. Every check compares whole sets. The rounds end only when no group has
    members left that are neither connected nor compared.
 
 Every pair of linked sets is either checked or already connected, so components are exact.
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labmeter.llm.components import relabel
@@ -45,8 +45,9 @@ from labmeter.llm.shingles import distinct_sets, mix, slices
 FILTER_BYTES = 32 << 20
 RARE = 16
 TOKENS_A_TASK = 2_000_000
-SMALL_GROUP = 32
-MOST_TOKENS = 6
+SMALL_GROUP = 48
+MOST_TOKENS = 3
+GROWTH = 8
 
 _SALT = np.uint64(0xA0761D6478BD642F)
 _PAIR = np.uint64(0xE7037ED1A0B428DB)
@@ -333,7 +334,7 @@ def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percen
         last = k == MOST_TOKENS
         step = 0
         while step < 2 or last:
-            groups, pairs = _one_against_the_rest(groups, labels, percent, step)
+            groups, pairs = _some_against_the_rest(groups, labels, percent, step)
             if pairs is None:
                 break
             labels = _verified(pairs, sets, labels, percent)
@@ -360,21 +361,21 @@ def _near_size(x: str, y: str, percent: int):
     return small * 100 >= large * percent
 
 
-def _one_against_the_rest(groups: DataFrame, labels: DataFrame, percent: int, step: int) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs of one member of each open group with those not connected to it; it then leaves."""
+def _some_against_the_rest(groups: DataFrame, labels: DataFrame, percent: int, step: int) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs of GROWTH ** step members of each open group with those not connected to them; these then leave."""
     groups = keep(groups.join(_open(groups, labels).select("sig"), "sig"), "open-groups")
     if groups.isEmpty():
         return groups, None
-    chosen = F.min(F.struct(F.xxhash64("ref", F.lit(step)).alias("h"), F.col("ref"), F.col("size"))).alias("c")
+    order = Window.partitionBy("sig").orderBy(F.xxhash64("ref", F.lit(step)))
     leaders = keep(
-        groups.groupBy("sig").agg(chosen).select("sig", F.col("c.ref").alias("a"), F.col("c.size").alias("a_size")),
-        "leaders",
+        groups.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= GROWTH**step)
+        .select("sig", F.col("ref").alias("a"), F.col("size").alias("a_size")), "leaders",
     )
     labelled = leaders.join(labels.withColumnRenamed("ref", "a").withColumnRenamed("label", "a_label"), "a")
     pairs = (
         groups.join(labels, "ref").join(labelled, "sig")
         .filter(F.col("label") != F.col("a_label")).filter(_near_size("size", "a_size", percent))
-        .select("a", F.col("ref").alias("b")).distinct()
+        .select(F.least("a", "ref").alias("a"), F.greatest("a", "ref").alias("b")).distinct()
     )
     rest = groups.join(leaders.select("sig", F.col("a").alias("ref")), ["sig", "ref"], "left_anti")
     return keep(rest, "groups"), pairs
