@@ -4,10 +4,12 @@ An event's address contains the reservation's RDP text, and its time lies in
 the reservation. Neither half becomes a nested loop or a list of pairs:
 - distinct addresses are cut into substrings of the lengths that occur among
   RDP texts, and meet those texts in an equi-join;
-- reservation times are cut into calendar cells (whole days, hours, minutes,
-  seconds), and cells of one RDP are merged into one row with the number of
-  reservations and the best of them. An event asks for four cells, so its work
-  does not grow with the number of reservations that share an RDP.
+- only reservations whose RDP is asked for are cut, and only inside the time that is
+  asked for, into calendar cells (32768, 1024, 32 and single days, hours, minutes,
+  seconds): a few hundred at most, however far off an end lies. Cells of one RDP are
+  merged into one row with the number of reservations and the best of them. An event
+  asks for one cell per unit, so its work does not grow with the number of
+  reservations that share an RDP.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from labmeter.functions.clock import epoch_of, moment
 from labmeter.functions.text import DAY, HOUR, MINUTE
 from labmeter.operators.ordered import spread_group
 
-CELL_UNITS = (DAY, HOUR, MINUTE, 1)
+CELL_UNITS = (32768 * DAY, 1024 * DAY, 32 * DAY, DAY, HOUR, MINUTE, 1)
 MOMENT = ["address", "ts"]
 
 
@@ -58,11 +60,12 @@ def _runs(intervals: DataFrame) -> DataFrame:
     )
 
 
-def reservation_cells(reservations: DataFrame) -> DataFrame:
+def reservation_cells(reservations: DataFrame, asked: DataFrame | None = None) -> DataFrame:
     """(rdp, unit, cell, n, best): reservations that cover a calendar cell entirely.
 
     `best` orders by latest start, then by name. One row per RDP and cell; the
-    merge combines map-side.
+    merge combines map-side. `asked` (rdp, ts) leaves out RDPs and times that no
+    moment lies in.
     """
     valid = reservations.filter("rdp IS NOT NULL AND start_ts <= end_ts").select(
         F.lower("rdp").alias("rdp"),
@@ -70,6 +73,13 @@ def reservation_cells(reservations: DataFrame) -> DataFrame:
         "vm_name",
     )
     ranked = valid.selectExpr("rdp", "start", "stop", "struct(-start AS age, vm_name) AS rank")
+    if asked is not None:
+        at = epoch_of(F.col("ts"))
+        low, high = (asked.agg(bound(at).alias("at")).scalar() for bound in (F.min, F.max))
+        ranked = ranked.join(asked.select("rdp").distinct(), "rdp", "left_semi").select(
+            "rdp", "rank", F.greatest("start", low).alias("start"),
+            F.least("stop", high + 1).alias("stop"),
+        ).filter("start < stop")
     tiles = _runs(ranked).selectExpr(
         "rdp", "rank", "unit", "explode(sequence(first, end - 1)) AS cell"
     )
@@ -111,14 +121,15 @@ def _lookup(moments: DataFrame, sources: Sequence[DataFrame], exact: bool) -> Da
 
     Of several sources the first that matches counts.
     """
-    cells = reduce(DataFrame.unionByName, [
-        reservation_cells(source).withColumn("source", F.lit(i)) for i, source in enumerate(sources)
-    ])
     if exact:
         located = moments.withColumn("rdp", F.lower("address"))
     else:
         rdps = reduce(DataFrame.union, [source.select("rdp") for source in sources])
         located = moments.join(address_matches(moments, rdps), "address")
+    cells = reduce(DataFrame.unionByName, [
+        reservation_cells(source, located).withColumn("source", F.lit(i))
+        for i, source in enumerate(sources)
+    ])
     hits = _probes(located).join(cells, ["rdp", "unit", "cell"])
 
     best = F.expr("min(struct(source, best.age, best.vm_name)) AS top")

@@ -31,11 +31,12 @@ def _per_email(
     """One row per mail address: total, and count and last start per bucket.
 
     Every column is a conditional aggregate of the same pass, and all of them
-    combine map-side: a busy address costs one row per task.
+    combine map-side: a busy address costs one row per task. A NULL address has a
+    total but belongs to no bucket: buckets are looked up by address.
     """
     per_bucket = []
     for name, labs in buckets.items():
-        member = _in_bucket(F.col("lab"), labs)
+        member = _in_bucket(F.col("lab"), labs) & F.col("email").isNotNull()
         per_bucket += [
             F.count_if(member & counted).alias(f"{name}_count"),
             F.max(F.when(member & last, F.col("start_ts"))).alias(f"{name}_last"),

@@ -10,6 +10,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.cache.maxEntries": "2000",  # a report has some hundred plans
     "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
 }
 

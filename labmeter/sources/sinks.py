@@ -17,11 +17,15 @@ def target_table(action: Column) -> Column:
     return table
 
 
+def stamp_arrival(df: DataFrame) -> DataFrame:
+    """Adds `arrived`, the time of storing in UTC."""
+    arrived = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return df.withColumn("arrived", arrived.cast("timestamp_ntz"))
+
+
 def append_events(df: DataFrame, path: str) -> None:
     """Append rows stamped with their arrival time (UTC)."""
-    arrived = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
-    stamped = df.withColumn("arrived", arrived.cast("timestamp_ntz"))
-    stamped.write.mode("append").parquet(path)
+    stamp_arrival(df).write.mode("append").parquet(path)
 
 
 def route_events(df: DataFrame, path: str, by: str = "action") -> None:

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from labmeter.functions.clock import whole_second
 from labmeter.operators.attribution import attribute_events
 from labmeter.operators.changes import describe_changes, first_changes, logged_changes
 from labmeter.operators.lifetimes import deletions
-from labmeter.sources.sinks import target_table
+from labmeter.sources.sinks import stamp_arrival, target_table
 
 REJECTED = "Rejected"
 
@@ -32,15 +33,17 @@ def stream_attribute(
     """Attribute a stream of (ts, action, address, ...) and store it by target table.
 
     A micro-batch writes one folder of its own, so a repeated batch replaces its
-    earlier attempt. Events that match no reservation go to `target=Rejected`.
+    earlier attempt. Events that match no reservation, or whose action has no table,
+    go to `target=Rejected`. Times are cut to whole seconds and every row is stamped
+    with its arrival.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.withColumn("ts", whole_second(F.col("ts")))
         rows = attribute_events(batch, reservations, exact=exact, overrides=overrides)
-        target = F.when(F.col("vm_name").isNull(), REJECTED).otherwise(
-            target_table(F.col("action"))
-        )
-        rows.withColumn("target", target).write.mode("overwrite").partitionBy("target").parquet(
+        table = F.coalesce(target_table(F.col("action")), F.lit(REJECTED))
+        target = F.when(F.col("vm_name").isNull(), REJECTED).otherwise(table)
+        stamp_arrival(rows).withColumn("target", target).write.mode("overwrite").partitionBy("target").parquet(
             f"{sink}/batch={batch_id}"
         )
 

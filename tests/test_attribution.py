@@ -125,3 +125,19 @@ def test_routing_and_orphans(spark):
 def test_accepted_and_rejected(spark):
     df = spark.createDataFrame([("a", 1), (None, 0)], "vm_name string, match_count int")
     assert attribution.accepted(df).count() == attribution.rejected(df).count() == 1
+
+
+def test_a_far_end_gives_a_few_hundred_cells(spark):
+    res = reservations(spark, [lab("vm", "10.1.1.1", at("08:00"), datetime(9999, 12, 31))])
+    assert attribution.reservation_cells(res).count() < 600
+
+
+def test_only_asked_addresses_and_times_are_cut(spark):
+    res = reservations(spark, [
+        lab("vm", "10.1.1.1", at("08:00"), datetime(9999, 12, 31)),
+        lab("other", "10.9.9.9", at("08:00"), datetime(9999, 12, 31)),
+    ])
+    asked = spark.createDataFrame([("10.1.1.1", at("09:00"))], "rdp string, ts timestamp_ntz")
+    cells = attribution.reservation_cells(res, asked)
+    assert [(r.rdp, r.unit) for r in cells.collect()] == [("10.1.1.1", 1)]
+    assert len(attribution.CELL_UNITS) <= 8

@@ -1,5 +1,7 @@
 """Readers and sinks on written tables."""
 
+from datetime import datetime
+
 from labmeter.sources import readers, schemas, sinks
 from tests.helpers import at, employees, reservations, rows
 
@@ -32,3 +34,11 @@ def test_sinks(spark, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/log")
     assert stored.count() == 6
     assert stored.filter("arrived > timestamp_ntz'2024-01-01'").count() == 6
+
+
+def test_readers_cut_times_to_whole_seconds(spark, tmp_path):
+    path = str(tmp_path / "logins")
+    rows = [("vm", datetime(2024, 1, 1, 9, 0, 0, 100_000)), ("vm", datetime(2024, 1, 1, 9, 0, 0, 900_000))]
+    spark.createDataFrame(rows, "vm_name string, login_ts timestamp_ntz").write.parquet(path)
+    read = readers.read_events(spark, path, "logins")
+    assert {r.login_ts for r in read.collect()} == {datetime(2024, 1, 1, 9)}
