@@ -12,16 +12,16 @@ from labmeter.llm.scratch import keep
 def one_of_each(docs: DataFrame, ids: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
     """The row with the smallest id of each group of linked documents, with all its columns.
 
-    Documents without words are groups of their own. Of rows with one id, one stays. Rows without id stay where no
-    row with an id has a linked text, one for each text. An empty table stays empty.
+    Documents without words are groups of their own. Of rows with one id, one stays. Rows without id
+    cannot be named by another row: one of each text stays. An empty table stays empty.
     """
+    nameless = docs.filter(F.col(ids).isNull()).dropDuplicates([text])
+    docs = docs.filter(F.col(ids).isNotNull())
     placed = keep(near_duplicates(docs, ids, text, percent).select(ids, "component_id"), "placed")
-    gone = placed.filter(~F.col(ids).eqNullSafe(F.col("component_id"))).select(F.col(ids).alias("gone")).distinct()
-    again = placed.groupBy(ids).agg(F.count("*").alias("n")).filter("n > 1").select(F.col(ids).alias("again"))
-    kept = docs.join(gone, F.col(ids).eqNullSafe(F.col("gone")), "left_anti")
+    gone = placed.filter(F.col(ids) != F.col("component_id")).select(ids).distinct()
+    again = placed.groupBy(ids).agg(F.count("*").alias("n")).filter("n > 1").select(ids)
+    kept = docs.join(gone, ids, "left_anti").unionByName(nameless)
     if again.isEmpty():
         return kept
-    repeated = kept.join(again, F.col(ids).eqNullSafe(F.col("again")), "left_semi")
-    single = kept.join(again, F.col(ids).eqNullSafe(F.col("again")), "left_anti")
-    with_id = repeated.filter(F.col(ids).isNotNull()).dropDuplicates([ids])
-    return single.unionByName(with_id).unionByName(repeated.filter(F.col(ids).isNull()).dropDuplicates([text]))
+    repeated = kept.join(again, ids, "left_semi").dropDuplicates([ids])
+    return kept.join(again, ids, "left_anti").unionByName(repeated)
