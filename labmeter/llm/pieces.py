@@ -348,7 +348,7 @@ def encode(docs: DataFrame, path: str = MODEL, ids: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(text)
-            for low, high in slices(column, most=32 * PIECE):
+            for low, high in slices(column, most=8 * PIECE):
                 part = batch.slice(low, high - low)
                 found, at = encode_column(shared.value, part.column(text), part.column("pieces").to_numpy(), seed, rate)
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(found, pa.int32()))
