@@ -74,8 +74,7 @@ def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pieces.piece_digest(pieces.encode(docs))
+    return pieces.round_trip(table(spark, sf_dir, "documents"))
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:

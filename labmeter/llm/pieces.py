@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -341,16 +341,12 @@ def encode(docs: DataFrame, path: str = MODEL, ids: str = "doc_id", text: str =
     """
     spark: SparkSession = docs.sparkSession
     shared = spark.sparkContext.broadcast(read_model(path))
-    variant = F.coalesce(F.pmod(F.xxhash64(F.lit(seed), F.col(ids)), F.lit(VARIANTS)), F.lit(0)).cast("int")
     plain = docs.drop("pieces")
-    docs = plain.withColumn("pieces", variant)
+    docs = plain.withColumn("pieces", _variant(ids, seed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(text)
-            for low, high in slices(column, most=8 * PIECE):
-                part = batch.slice(low, high - low)
-                found, at = encode_column(shared.value, part.column(text), part.column("pieces").to_numpy(), seed, rate)
+            for part, found, at in _encoded(shared.value, batch, text, "pieces", seed, rate):
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(found, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=part.schema.names)
 
@@ -358,6 +354,17 @@ def encode(docs: DataFrame, path: str = MODEL, ids: str = "doc_id", text: str =
     return docs.mapInArrow(run, schema)
 
 
+def _variant(ids: str, seed: int) -> Column:
+    return F.coalesce(F.pmod(F.xxhash64(F.lit(seed), F.col(ids)), F.lit(VARIANTS)), F.lit(0)).cast("int")
+
+
+def _encoded(model: Pieces, batch: pa.RecordBatch, text: str, variant: str, seed: int, rate: float) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of a batch, with the ids of their texts and where each text's begin."""
+    for low, high in slices(batch.column(text), most=8 * PIECE):
+        part = batch.slice(low, high - low)
+        yield part, *encode_column(model, part.column(text), part.column(variant).to_numpy(), seed, rate)
+
+
 def decode(encoded: DataFrame, path: str = MODEL, to: str = "decoded") -> DataFrame:
     """Adds the text that the pieces stand for (null pieces: null)."""
     shared = encoded.sparkSession.sparkContext.broadcast(read_model(path))
@@ -377,11 +384,30 @@ def decode(encoded: DataFrame, path: str = MODEL, to: str = "decoded") -> DataFr
     return encoded.mapInArrow(run, schema)
 
 
-def piece_digest(encoded: DataFrame, ids: str = "doc_id", text: str = "text", path: str = MODEL) -> DataFrame:
-    """Number of pieces, their digest, the digest of the decoded text, and whether that is the text itself."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    named = F.array_join(F.transform("pieces", lambda p: p.cast("string")), ",")
-    return decode(encoded, path).select(
-        ids, F.size("pieces").cast("long").alias("n_pieces"), F.sha2(named, 256).alias("pieces_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"), (F.col("decoded") == whole).alias("lossless"),
+def round_trip(docs: DataFrame, path: str = MODEL, ids: str = "doc_id", text: str = "text", seed: int = SEED, rate: float = RATE) -> DataFrame:
+    """Number of pieces, digests of the pieces and of the decoded text, and whether that is the text itself.
+
+    Texts are encoded and decoded in one pass, so that a task holds the pieces of one slice only. Nulls, empty
+    texts and repeated rows are treated as by ``encode``; columns other than id and text are not read.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(read_model(path))
+    docs = docs.select(F.col(ids).alias(ids), F.col(text).alias("text"), _variant(ids, seed).alias("variant"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, found, at in _encoded(shared.value, batch, "text", "variant", seed, rate):
+                data, places = buffers(part.column("text"))
+                whole, edges = data.tobytes(), places.tolist()
+                decoded = decode_ids(shared.value, found, at)
+                named = [",".join(map(str, found[a:b].tolist())).encode() for a, b in zip(at[:-1], at[1:])]
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), pa.array(np.diff(at), pa.int64()),
+                    pa.array([hashlib.sha256(n).hexdigest() for n in named], pa.string()),
+                    pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string()),
+                    pa.array([d == whole[a:b] for d, a, b in zip(decoded, edges[:-1], edges[1:])], pa.bool_()),
+                ], names=[ids, "n_pieces", "pieces_sha256", "decoded_sha256", "lossless"])
+
+    kind = docs.schema[0].dataType.simpleString()
+    return docs.mapInArrow(
+        run, f"`{ids}` {kind}, n_pieces bigint, pieces_sha256 string, decoded_sha256 string, lossless boolean"
     )

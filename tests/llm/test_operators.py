@@ -203,6 +203,11 @@ def test_encode_keeps_columns(docs, by_id):
     found = pieces.decode(pieces.encode(docs))
     assert found.columns == [*docs.columns, "pieces", "decoded"]
     assert all((r.decoded or "") == by_id[r.doc_id] for r in found.collect())
+    digests = collections.Counter()
+    for r in pieces.decode(pieces.encode(docs)).collect():
+        named, text = ",".join(map(str, r.pieces)), r.decoded or ""
+        digests[(r.doc_id, len(r.pieces), hashlib.sha256(named.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest(), True)] += 1
+    assert collections.Counter(map(tuple, pieces.round_trip(docs).collect())) == digests
 
 
 class Forgetful(chat.TurnTemplate):
