@@ -113,12 +113,11 @@ def _sum_before(column: str, window: str) -> str:
 def repeat_rows(df: DataFrame, times: Column, index: str = "copy") -> DataFrame:
     """Each row `times` times, numbered from 1 in `index`; rows with fewer than one go.
 
-    Only rows with several copies are moved.
+    One branch: what stands above (sorts, windows, joins) is planned once, at the price of
+    one more shuffle of the rows that are not yet unfolded.
     """
-    counted = df.withColumn("_times", times.cast("long"))
-    single = counted.filter("_times = 1").withColumn(index, F.lit(1).cast("long"))
-    several = unfold(counted.filter("_times > 1"), "_times", index)
-    return single.unionByName(several).drop("_times")
+    counted = df.withColumn("_times", times.cast("long")).filter("_times >= 1")
+    return unfold(counted, "_times", index).drop("_times")
 
 
 def unfold(df: DataFrame, times: str, index: str) -> DataFrame:
