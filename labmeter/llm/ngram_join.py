@@ -18,7 +18,8 @@ A document's set holds the 64-bit hashes of its distinct shingles. Two sets link
    is left that both have. The number of classes grows with the size of the sets (sets that
    can link lie in the same or neighbouring size bands, and each set is indexed for its own
    band and the next), so that a document has about as many combinations as tokens.
-4. *Verify.* Documents meet where they share a combination. Each such group checks its
+4. *Verify.* Documents meet where they share a combination; of combinations with the same
+   members one is kept. Each such group checks its
    members against one of them, then against GROWTH more, and so on; members found connected
    need no more checks, so a group of many near copies costs a few lines of checks and not all
    pairs. What is left in small groups is checked pair by pair; large groups are indexed anew with
@@ -48,6 +49,7 @@ TOKENS_A_TASK = 2_000_000
 SMALL_GROUP = 48
 MOST_TOKENS = 3
 GROWTH = 8
+KEYS_A_BATCH = 100_000
 
 _SALT = np.uint64(0xA0761D6478BD642F)
 _PAIR = np.uint64(0xE7037ED1A0B428DB)
@@ -253,26 +255,30 @@ def signatures(tokens: np.ndarray, often: np.ndarray, shared: np.ndarray, percen
         classes = max(1, (least - 1) // (3 * (width - 1))) if width > 1 else 1
         heavy = tokens[lights:]
         dealt = (mix(heavy ^ _PAIR) % np.uint64(classes)).astype(np.int64)
-        members: dict[int, list[int]] = {}
-        weight = lights
-        for token, group in zip(heavy.tolist(), dealt.tolist()):
-            held = members.setdefault(group, [])
-            held.append(token)
-            weight += len(held) >= width
-            if weight > spare:
-                break
-        for held in members.values():
-            if len(held) >= width:
-                found.append(mix(combinations(np.array(held, np.uint64), width) ^ ~stamp))
+        order = np.argsort(dealt, kind="stable")
+        first, length = _runs_of(dealt[order])
+        place = np.empty(len(heavy), np.int64)
+        place[order] = np.arange(len(heavy)) - np.repeat(first, length)
+        weight = lights + np.cumsum(place + 1 >= width)
+        used = order[order <= np.searchsorted(weight, spare, "right")]
+        found.append(mix(combinations(heavy[used], dealt[used], width) ^ ~stamp))
     return np.unique(np.concatenate(found))
 
 
-def combinations(tokens: np.ndarray, k: int) -> np.ndarray:
-    """A number for each combination of k of the tokens."""
+def _runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin, and their lengths."""
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])[:len(values)])
+    return first, np.diff(np.append(first, len(values)))
+
+
+def combinations(tokens: np.ndarray, classes: np.ndarray, k: int) -> np.ndarray:
+    """A number for each combination of k tokens of one class; tokens of a class stand together."""
+    first, length = _runs_of(classes)
+    end = np.repeat(first + length, length)
     sums, last = mix(tokens), np.arange(len(tokens))
     hashed = sums
     for _ in range(k - 1):
-        count = len(tokens) - 1 - last
+        count = end[last] - 1 - last
         last = np.repeat(last, count) + 1 + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         with np.errstate(over="ignore"):
             sums = np.repeat(sums, count) + hashed[last]
@@ -280,16 +286,27 @@ def combinations(tokens: np.ndarray, k: int) -> np.ndarray:
 
 
 def _indexed(percent: int, k: int, shared, frequent):
+    def packed(keys: list[np.ndarray], refs: list[int], sizes: list[int]) -> pa.RecordBatch:
+        lengths = [len(x) for x in keys]
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(refs, np.int64), lengths)),
+            pa.array(np.repeat(np.array(sizes, np.int64), lengths)),
+        ], names=["sig", "ref", "size"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            refs = batch["ref"].to_numpy()
-            for i, packed in enumerate(batch["tokens"]):
-                tokens = np.frombuffer(packed.as_buffer(), np.uint64)
-                keys = signatures(tokens, frequent.value.has(tokens), shared.value.has(tokens), percent, k)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), refs[i])),
-                    pa.array(np.full(len(keys), len(tokens), np.int64)),
-                ], names=["sig", "ref", "size"])
+            keys, refs, sizes, held = [], [], [], 0
+            for ref, tokens in zip(batch["ref"].to_pylist(), batch["tokens"]):
+                tokens = np.frombuffer(tokens.as_buffer(), np.uint64)
+                keys.append(signatures(tokens, frequent.value.has(tokens), shared.value.has(tokens), percent, k))
+                refs.append(ref)
+                sizes.append(len(tokens))
+                held += len(keys[-1])
+                if held > KEYS_A_BATCH:
+                    yield packed(keys, refs, sizes)
+                    keys, refs, sizes, held = [], [], [], 0
+            if keys:
+                yield packed(keys, refs, sizes)
 
     return run
 
@@ -328,9 +345,10 @@ def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percen
     labels = keep(sets.select("ref", F.col("ref").alias("label")), "labels")
     left = sets
     for k in range(2, MOST_TOKENS + 1):
-        found = left.mapInArrow(_indexed(percent, k, shared, frequent), "sig bigint, ref bigint, size bigint")
-        counts = found.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1").select("sig")
-        groups = keep(found.join(counts, "sig"), "groups")
+        found = keep(
+            left.mapInArrow(_indexed(percent, k, shared, frequent), "sig bigint, ref bigint, size bigint"), "index"
+        )
+        groups = keep(found.join(_one_of_equal_groups(found), "sig"), "groups")
         last = k == MOST_TOKENS
         step = 0
         while step < 2 or last:
@@ -350,6 +368,15 @@ def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percen
     return measured.select(ids, "n_shingles", "ref"), labels
 
 
+def _one_of_equal_groups(found: DataFrame) -> DataFrame:
+    """One combination for each group of two members or more: near copies share hundreds, all with the same members.
+
+    Groups count as equal when number and mixed hashes (64 bits) of their members are.
+    """
+    groups = found.groupBy("sig").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("ref")).alias("members"))
+    return groups.filter("n > 1").groupBy("n", "members").agg(F.min("sig").alias("sig")).select("sig")
+
+
 def _open(groups: DataFrame, labels: DataFrame) -> DataFrame:
     """Groups whose members belong to several components, with the number of these (at most)."""
     each = groups.join(labels, "ref").groupBy("sig", "label").agg(F.count("*").alias("n"))
