@@ -1,13 +1,14 @@
 """SentencePiece encoding with seeded merge-dropout, and lossless decoding.
 
 The model is of the merge type with byte fallback. A text's symbols are its code points; the agenda holds
-every pair of neighbours that is a piece, best score first, leftmost among equals. A keyed hash of (seed, variant of the text,
-stretch, place, piece) skips a candidate with the given rate, so that a text is segmented otherwise by every seed and
-by every variant, and reruns agree. Without dropout the result is the model's usual encoding.
+every pair of neighbours that is a piece, best score first, leftmost among equals. A keyed hash of (seed, document,
+stretch and its number in the text, place, piece) skips a candidate with the given rate, so that every occurrence of a word
+is segmented by a draw of its own, and reruns agree. Without dropout the result is the model's usual encoding.
 
 No piece has a word mark after another character (checked when the model is read), so that no merge crosses the beginning of
-a run of spaces: a text falls apart into stretches (spaces, then other characters). Equal stretches of texts of
-one variant are segmented once in a few megabytes of text, all stretches of like length together: each round takes the
+a run of spaces: a text falls apart into stretches (spaces, then other characters). A stretch's segmentation follows from
+which of the pieces that occur in it are skipped where. Occurrences with the same stretch and the same skipped ones (64-bit hashes
+of both) are segmented once in a few megabytes of text, all stretches of like length together: each round takes the
 best candidate of every stretch. Longer ones than LONG symbols go through an agenda one by one. Symbols outside the vocabulary and the
 word mark itself become bytes. Decoding joins pieces' bytes and takes the leading space off.
 """
@@ -29,8 +30,8 @@ from labmeter.llm.shingles import _EXACT_BYTE, _POWER, PIECE, buffers, mix, slic
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RATE = 0.1
 SEED = 20240501
-VARIANTS = 2
 LONG = 48
+DRAWS_AT_ONCE = 16384
 MARK = "▁"
 
 _M = (1 << 64) - 1
@@ -38,10 +39,42 @@ _NONE = 1 << 62
 _FAR = 2**31 - 1
 
 
+class Table:
+    """An open table from 64-bit keys to two numbers each."""
+
+    def __init__(self, rows: list[tuple[int, int, int]]):
+        bits = max(4, (4 * len(rows)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, _M, np.uint64)
+        self.values = np.zeros((1 << bits, 2), np.int32)
+        for key, one, two in rows:
+            slot = (key * 0x9E3779B97F4A7C15 & _M) >> (64 - bits)
+            while self.keys[slot] != _M:
+                slot = slot + 1 & self.mask
+            self.keys[slot] = key
+            self.values[slot] = one, two
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Both numbers of the keys ``left << 32 | right`` (_FAR, 0: no such key)."""
+        key = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
+        slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        one, two = np.full(len(key), _FAR, np.int32), np.zeros(len(key), np.int32)
+        todo = np.arange(len(key))
+        while len(todo):
+            held = self.keys[slot]
+            hit = held == key[todo]
+            one[todo[hit]] = self.values[slot[hit], 0]
+            two[todo[hit]] = self.values[slot[hit], 1]
+            on = ~hit & (held != np.uint64(_M))
+            todo, slot = todo[on], slot[on] + 1 & self.mask
+        return one, two
+
+
 class Pieces:
     """A vocabulary: rank and id of each piece, ids of the 256 bytes, the bytes of each id.
 
-    ``pair`` finds what two neighbours merge to, in an open table of all splits of pieces into two.
+    ``pair`` finds what two neighbours merge to, in a table of all splits of pieces into two; ``tree`` leads from a
+    beginning of pieces and a symbol to the next longer beginning, and tells the id of the piece that it is (-1: none).
     """
 
     def __init__(self, ranks: dict[str, tuple[int, int]], byte_ids: list[int], bytes_of: list[bytes]):
@@ -59,34 +92,22 @@ class Pieces:
             (ranks[p[:i]][1] << 32 | ranks[p[i:]][1], rank, made)
             for p, (rank, made) in ranks.items() for i in range(1, len(p)) if p[:i] in ranks and p[i:] in ranks
         ]
-        bits = max(4, (4 * len(splits)).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys = np.full(1 << bits, _M, np.uint64)
-        self.made = np.zeros((1 << bits, 2), np.int32)
-        for key, rank, made in splits:
-            slot = (key * 0x9E3779B97F4A7C15 & _M) >> (64 - bits)
-            while self.keys[slot] != _M:
-                slot = slot + 1 & self.mask
-            self.keys[slot] = key
-            self.made[slot] = rank, made
+        self.splits = Table(splits)
+        nodes: dict[tuple[int, int], list[int]] = {}
+        for piece, (_, i) in ranks.items():
+            node = 0
+            for c in piece:
+                step = nodes.setdefault((node, int(self.symbol[0x20 if c == MARK else ord(c)])), [len(nodes) + 1, -1])
+                node = step[0]
+            step[1] = i
+        self.tree = Table([(node << 32 | symbol, to, i) for (node, symbol), (to, i) in nodes.items()])
 
     def __reduce__(self):
         return Pieces, (self.ranks, self.byte_ids, self.bytes_of)
 
     def pair(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (_FAR: no piece) and id of the merged neighbours."""
-        key = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
-        slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
-        rank, made = np.full(len(key), _FAR, np.int32), np.zeros(len(key), np.int32)
-        todo = np.arange(len(key))
-        while len(todo):
-            held = self.keys[slot]
-            hit = held == key[todo]
-            rank[todo[hit]] = self.made[slot[hit], 0]
-            made[todo[hit]] = self.made[slot[hit], 1]
-            on = ~hit & (held != np.uint64(_M))
-            todo, slot = todo[on], slot[on] + 1 & self.mask
-        return rank, made
+        return self.splits.find(left, right)
 
 
 def read_model(path: str = MODEL) -> Pieces:
@@ -209,13 +230,20 @@ def stretches(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def gathered(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Ranges of ``values``, one after the other."""
+    return values[gathered_places(first, size)]
+
+
+def gathered_places(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     ends = np.cumsum(size)
-    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)]
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
+
 
+def _candidate(place: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    return place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + piece.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
 
-def _skips(key: np.ndarray, place: np.ndarray, piece: np.ndarray, least: int) -> np.ndarray:
-    """``skipped`` for arrays."""
-    x = key + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + piece.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+
+def _hit(x: np.ndarray, least: int) -> np.ndarray:
+    """``skipped`` for arrays of key + candidate."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return (x ^ (x >> np.uint64(29))) & np.uint64(0xFFFFFFFF) < np.uint64(least)
 
@@ -231,7 +259,7 @@ def merged_together(model: Pieces, symbols: np.ndarray, number: np.ndarray, keys
         rank, piece = model.pair(symbols[rows, at], symbols[rows, at + 1])
         some = np.flatnonzero(rank != _FAR)
         if least:
-            rank[some[_skips(keys[rows[some]], place[rows[some], at[some]], piece[some], least)]] = _FAR
+            rank[some[_hit(keys[rows[some]] + _candidate(place[rows[some], at[some]], piece[some]), least)]] = _FAR
         ranks[rows, at], made[rows, at] = rank, piece
 
     rows, at = np.nonzero(np.arange(width)[None, :] < number[:, None] - 1)
@@ -275,13 +303,60 @@ def _as_ids(model: Pieces, symbols: np.ndarray, number: np.ndarray) -> tuple[np.
     return ids, total[ends] - total[ends - number]
 
 
-def segmented(model: Pieces, data: np.ndarray, start: np.ndarray, size: np.ndarray, leading: np.ndarray, keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of each stretch, one after the other, and how many each has."""
+def _symbols(model: Pieces, data: np.ndarray, start: np.ndarray, size: np.ndarray, leading: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of the stretches, one stretch after the other, and how many each has."""
     stretch = gathered(data, start, size)
     points = np.add.reduceat(((stretch & 0xC0) != 0x80).astype(np.int64), np.cumsum(size) - size)
     text = np.frombuffer(stretch.tobytes().decode().encode("utf-32-le"), np.uint32)
-    symbols = np.insert(model.symbol[text], (np.cumsum(points) - points)[leading], model.symbol[0x20])
-    count = points + leading
+    return np.insert(model.symbol[text], (np.cumsum(points) - points)[leading], model.symbol[0x20]), points + leading
+
+
+def _occurring(model: Pieces, symbols: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each place and piece of two symbols or more in stretches up to LONG, by stretch, and how many each has.
+
+    Whatever a merge may offer is among them: neighbours merge to a piece that the text has at the place of the left one.
+    """
+    end = np.repeat(np.cumsum(count), count)
+    place = np.arange(len(symbols)) - np.repeat(np.cumsum(count) - count, count)
+    live = np.flatnonzero(np.repeat(count <= LONG, count))
+    node, depth = np.zeros(len(live), np.int32), 0
+    found, pieces = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    while len(live):
+        inside = live + depth < end[live]
+        live, node = live[inside], node[inside]
+        node, piece = model.tree.find(node, symbols[live + depth])
+        on = node != _FAR
+        live, node, piece = live[on], node[on], piece[on]
+        if depth:
+            found.append(live[piece >= 0])
+            pieces.append(piece[piece >= 0])
+        depth += 1
+    at, piece = np.concatenate(found), np.concatenate(pieces)
+    order = np.argsort(at, kind="stable")
+    at, piece = at[order], piece[order]
+    owner = np.repeat(np.arange(len(count)), count)[at]
+    return _candidate(place[at], piece), np.bincount(owner, minlength=len(count))
+
+
+def _draws(key: np.ndarray, kind: np.ndarray, candidates: np.ndarray, number: np.ndarray, least: int) -> np.ndarray:
+    """A hash for each occurrence of which of its stretch's candidates are skipped. ``kind``: the occurrence's stretch."""
+    first, stamps = np.cumsum(number) - number, mix(candidates)
+    found = np.zeros(len(key), np.uint64)
+    for low in range(0, len(key), DRAWS_AT_ONCE):
+        own = kind[low:low + DRAWS_AT_ONCE]
+        own, rows = own[number[own] > 0], low + np.flatnonzero(number[own] > 0)
+        if not len(rows):
+            continue
+        size = number[own]
+        at = gathered_places(first[own], size)
+        out = _hit(np.repeat(key[rows], size) + candidates[at], least)
+        found[rows] = np.add.reduceat(np.where(out, stamps[at], np.uint64(0)), np.cumsum(size) - size)
+    return found
+
+
+def segmented(model: Pieces, data: np.ndarray, start: np.ndarray, size: np.ndarray, leading: np.ndarray, keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of each stretch, one after the other, and how many each has."""
+    symbols, count = _symbols(model, data, start, size, leading)
     first = np.cumsum(count) - count
     found, number = [], np.zeros(len(start), np.int64)
     place = np.zeros(len(start), np.int64)
@@ -308,19 +383,26 @@ def segmented(model: Pieces, data: np.ndarray, start: np.ndarray, size: np.ndarr
 
 
 def encode_column(model: Pieces, column: pa.Array, variant: np.ndarray, seed: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after the other, and where each text's begin. ``variant``: a number for each text."""
+    """Ids of all texts one after the other, and where each text's begin. ``variant``: a 64-bit number of each text's draw."""
     data, at = buffers(column)
     start, hashes, own = stretches(data, at)
     if not len(start):
         return np.zeros(0, np.int32), np.zeros(len(at), np.int64)
-    size = np.diff(np.append(start, len(data)))
+    size, held, least = np.diff(np.append(start, len(data))), np.diff(own), int(rate * 2**32)
     leading = np.zeros(len(start), bool)
-    leading[own[:-1][np.diff(own) > 0]] = True
+    leading[own[:-1][held > 0]] = True
     with np.errstate(over="ignore"):
-        stamp = mix(np.repeat(variant, np.diff(own)).astype(np.uint64) * np.uint64(2) + np.uint64(seed % 2**58) * np.uint64(16))
-        keys = mix(hashes ^ stamp) ^ leading.astype(np.uint64) * np.uint64(0x5851F42D4C957F2D)
-    _, sample, back = np.unique(keys, return_index=True, return_inverse=True)
-    ids, number = segmented(model, data, start[sample], size[sample], leading[sample], keys[sample], int(rate * 2**32))
+        named = hashes ^ leading.astype(np.uint64) * np.uint64(0x5851F42D4C957F2D)
+        _, sample, back = np.unique(named, return_index=True, return_inverse=True)
+        keys = np.zeros(len(start), np.uint64)
+        if least:
+            stamp = mix(variant.astype(np.int64).view(np.uint64) ^ mix(np.array([seed % 2**64], np.uint64)))
+            order = (np.arange(len(start)) - np.repeat(own[:-1], held)).astype(np.uint64)
+            keys = mix(named ^ mix(np.repeat(stamp, held) + order * np.uint64(0xD6E8FEB86659FD93)))
+            symbols, count = _symbols(model, data, start[sample], size[sample], leading[sample])
+            draws = np.where(count[back] > LONG, keys, _draws(keys, back, *_occurring(model, symbols, count), least))
+            _, sample, back = np.unique(mix(named) + draws, return_index=True, return_inverse=True)
+        ids, number = segmented(model, data, start[sample], size[sample], leading[sample], keys[sample], least)
     ids = gathered(ids, (np.cumsum(number) - number)[back], number[back])
     return ids, np.concatenate([[0], np.cumsum(number[back])])[own]
 
@@ -333,16 +415,17 @@ def decode_ids(model: Pieces, ids: np.ndarray, at: np.ndarray) -> list[bytes]:
     return [data[a + 1:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
 
 
-def encode(docs: DataFrame, path: str = MODEL, ids: str = "doc_id", text: str = "text", seed: int = SEED, rate: float = RATE) -> DataFrame:
+def encode(docs: DataFrame, path: str = MODEL, ids: str = "doc_id", text: str = "text", seed: int = SEED, rate: float = RATE, copy: str | None = None) -> DataFrame:
     """Adds ``pieces``: the ids of the text; other columns pass.
 
-    Null and empty texts have no pieces. Rows of equal id and text agree. A text's variant is a hash of its id (null: 0).
+    Null and empty texts have no pieces. Rows of equal id and text agree, or those of equal id, text and ``copy``, a column
+    that numbers copies.
     An empty table stays empty. A column named ``pieces`` is replaced.
     """
     spark: SparkSession = docs.sparkSession
     shared = spark.sparkContext.broadcast(read_model(path))
     plain = docs.drop("pieces")
-    docs = plain.withColumn("pieces", _variant(ids, seed))
+    docs = plain.withColumn("pieces", F.xxhash64(*[F.col(c) for c in (ids, text, copy) if c]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -354,10 +437,6 @@ def encode(docs: DataFrame, path: str = MODEL, ids: str = "doc_id", text: str =
     return docs.mapInArrow(run, schema)
 
 
-def _variant(ids: str, seed: int) -> Column:
-    return F.coalesce(F.pmod(F.xxhash64(F.lit(seed), F.col(ids)), F.lit(VARIANTS)), F.lit(0)).cast("int")
-
-
 def _encoded(model: Pieces, batch: pa.RecordBatch, text: str, variant: str, seed: int, rate: float) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of a batch, with the ids of their texts and where each text's begin."""
     for low, high in slices(batch.column(text), most=8 * PIECE):
@@ -391,7 +470,7 @@ def round_trip(docs: DataFrame, path: str = MODEL, ids: str = "doc_id", text: st
     texts and repeated rows are treated as by ``encode``; columns other than id and text are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_model(path))
-    docs = docs.select(F.col(ids).alias(ids), F.col(text).alias("text"), _variant(ids, seed).alias("variant"))
+    docs = docs.select(F.col(ids).alias(ids), F.col(text).alias("text"), F.xxhash64(ids, text).alias("variant"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

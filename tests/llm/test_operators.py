@@ -199,6 +199,22 @@ def test_merging_together_equals_the_agenda(texts, monkeypatch):
     assert (together == pieces.encode_column(model, column, zero, 9, 0.3)[0]).all()
 
 
+def test_every_occurrence_has_a_draw_of_its_own(spark):
+    model, word, n = pieces.read_model(), " international", 3000
+    column, zero = pa.array([word * n, word * n]), np.zeros(2, np.int64)
+    start = np.arange(n) * len(word)
+    for rate, least, most in ((0.0, 1, 1), (0.1, 20, n)):
+        ids, at = pieces.encode_column(model, column, zero, 5, rate)
+        ends = np.cumsum(model.sizes[ids[:at[1]]]) - 1
+        cut = np.searchsorted(ends, start[1:], "right")
+        kinds = collections.Counter(x.tobytes() for x in np.split(ids[:at[1]], cut)[1:])
+        assert least <= len(kinds) <= most
+        assert max(kinds.values()) < 0.9 * n or not rate
+    rows = spark.createDataFrame([(1, word * 50, "s", "l"), (1, word * 50, "s", "l"), (2, word * 50, "s", "l"), (None, word * 50, "s", "l")], "doc_id long, text string, source string, lang string")
+    assert len({tuple(r.pieces) for r in pieces.encode(rows).collect()}) == 3
+    assert len({tuple(r.pieces) for r in corpus_pipeline.encode(spark, rows, SF).collect()}) == 4
+
+
 def test_encode_keeps_columns(docs, by_id):
     found = pieces.decode(pieces.encode(docs))
     assert found.columns == [*docs.columns, "pieces", "decoded"]
