@@ -55,6 +55,10 @@ def join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.count_links(table(spark, sf_dir, "documents"))
+
+
 def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
@@ -99,6 +103,7 @@ QUERIES: dict[str, Query] = {
         "op1_mix_sources": mix, "op2_secret_scan": secret_scan, "op3_toxicity": toxic, "op4_ngram_join": join,
         "op5_neighbours": search, "op6_personal_data": personal, "op7_shards": shards, "op8_fingerprints": edits,
         "op9_pieces": encoded, "op10_chat": conversations,
+        "op4_ngram_links": links,
     }.items()
 }
 
@@ -175,6 +180,11 @@ SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, least(sets.doc_id, coalesce(mi
 FROM sets LEFT JOIN reach ON reach.x = sets.doc_id GROUP BY sets.doc_id, s
 """
 
+LINKS_SQL = JOIN_SQL[:JOIN_SQL.index(", reach(x, y)")] + """
+SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, count(y)::BIGINT AS n_links
+FROM sets LEFT JOIN links ON links.x = sets.doc_id GROUP BY sets.doc_id, s
+"""
+
 _ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 
 
@@ -219,4 +229,4 @@ SELECT d.doc_id, count(*) FILTER (kind = 'assign')::BIGINT AS n_assign, count(*)
 FROM documents d LEFT JOIN kept USING (doc_id) GROUP BY d.doc_id
 """
 
-ORACLES = {"op1_mix_sources": MIX_SQL, "op2_secret_scan": SECRET_SQL, "op4_ngram_join": JOIN_SQL, "op10_chat": CHAT_SQL}
+ORACLES = {"op1_mix_sources": MIX_SQL, "op2_secret_scan": SECRET_SQL, "op4_ngram_join": JOIN_SQL, "op10_chat": CHAT_SQL, "op4_ngram_links": LINKS_SQL}

@@ -26,7 +26,8 @@ A document's set holds the 64-bit hashes of its distinct shingles. Two sets link
    k + 1 tokens. Every check compares whole sets. The rounds end only when no group has
    members left that are neither connected nor compared.
 
-Every pair of linked sets is either checked or already connected, so components are exact.
+Every pair of linked sets is either checked or already connected, so components are exact. ``every_link`` skips no pair:
+it checks whatever shares a combination of MOST_TOKENS tokens, however connected, and yields the links themselves.
 """
 
 from __future__ import annotations
@@ -324,11 +325,8 @@ def _overlaps(percent: int):
     return run
 
 
-def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percent: int = 75, rare: int = RARE) -> tuple[DataFrame, DataFrame]:
-    """Each document's (ids, n_shingles, ref), and (ref, label) of the sets that are linked.
-
-    ``ref`` names a distinct set (null: no words), ``label`` a component of linked sets.
-    """
+def _able_sets(docs: DataFrame, ids: str, text: str, percent: int, rare: int):
+    """Each document's set, the distinct sets that can link, and the two filters."""
     context = docs.sparkSession.sparkContext
     docs = docs.select(F.col(ids).alias(ids), F.col(text).alias(text))
     two, many = frequency_filters(docs, text, rare)
@@ -342,6 +340,15 @@ def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percen
     sets = keep(
         measured.filter("tokens is not null").groupBy("ref").agg(F.first("tokens").alias("tokens")), "able-sets"
     )
+    return measured, sets, shared, frequent
+
+
+def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percent: int = 75, rare: int = RARE) -> tuple[DataFrame, DataFrame]:
+    """Each document's (ids, n_shingles, ref), and (ref, label) of the sets that are linked.
+
+    ``ref`` names a distinct set (null: no words), ``label`` a component of linked sets.
+    """
+    measured, sets, shared, frequent = _able_sets(docs, ids, text, percent, rare)
     labels = keep(sets.select("ref", F.col("ref").alias("label")), "labels")
     left = sets
     for k in range(2, MOST_TOKENS + 1):
@@ -420,12 +427,61 @@ def _pairs_of(groups: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Labels after the pairs whose whole sets are similar enough have been joined."""
-    links = keep(
+    return relabel(labels, _links(pairs, sets, percent))
+
+
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough."""
+    return keep(
         pairs.join(sets.select(F.col("ref").alias("a"), F.col("tokens").alias("x")), "a")
         .join(sets.select(F.col("ref").alias("b"), F.col("tokens").alias("y")), "b")
         .select("a", "b", "x", "y").mapInArrow(_overlaps(percent), "a bigint, b bigint"), "links",
     )
-    return relabel(labels, links)
+
+
+def _all_pairs(groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) of members of a group. Members are dealt to blocks, so that a large group spreads over many keys."""
+    counts = groups.groupBy("sig").agg(F.ceil(F.count("*") / SMALL_GROUP).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("ref", F.lit("block")), F.col("blocks")).cast("int")
+    rows = groups.join(counts, "sig").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("sig", "ref", "size", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    left = rows.filter("own = low").select("sig", "low", "high", F.col("ref").alias("a"), F.col("size").alias("a_size"))
+    met = left.join(rows.filter("own = high"), ["sig", "low", "high"]).filter((F.col("low") < F.col("high")) | (F.col("a") < F.col("ref")))
+    return (
+        met.filter(_near_size("size", "a_size", percent))
+        .select(F.least("a", "ref").alias("a"), F.greatest("a", "ref").alias("b")).distinct()
+    )
+
+
+def every_link(docs: DataFrame, ids: str = "doc_id", text: str = "text", percent: int = 75, rare: int = RARE) -> tuple[DataFrame, DataFrame]:
+    """Each document's (ids, n_shingles, ref), and every link (a, b), a < b, between distinct sets.
+
+    Rows with equal sets (one ``ref``) are linked too and not listed. In a group of near copies the links
+    themselves grow with the square of its distinct sets; nothing is left out.
+    """
+    measured, sets, shared, frequent = _able_sets(docs, ids, text, percent, rare)
+    found = keep(
+        sets.mapInArrow(_indexed(percent, MOST_TOKENS, shared, frequent), "sig bigint, ref bigint, size bigint"), "index"
+    )
+    groups = keep(found.join(_one_of_equal_groups(found), "sig"), "groups")
+    return measured.select(ids, "n_shingles", "ref"), _links(_all_pairs(groups, percent), sets, percent)
+
+
+def count_links(docs: DataFrame, ids: str = "doc_id", text: str = "text", percent: int = 75, rare: int = RARE) -> DataFrame:
+    """(ids, n_shingles, n_links) for each row: how many other rows it is linked with, those with its own set included.
+
+    Null and wordless texts have no links. An empty table gives no rows.
+    """
+    members, links = every_link(docs, ids, text, percent, rare)
+    copies = keep(members.filter("ref is not null").groupBy("ref").agg(F.count("*").alias("n")), "copies")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(copies.withColumnRenamed("ref", "b"), "b").groupBy("a").agg(F.sum("n").alias("others"))
+    degrees = copies.join(others.withColumnRenamed("a", "ref"), "ref", "left").select(
+        "ref", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+    )
+    with_words = members.filter("ref is not null").join(degrees, "ref").select(ids, "n_shingles", "n_links")
+    without = members.filter("ref is null").select(ids, "n_shingles", F.lit(0).cast("bigint").alias("n_links"))
+    return with_words.unionByName(without)
 
 
 def near_duplicates(docs: DataFrame, ids: str = "doc_id", text: str = "text", percent: int = 75, rare: int = RARE) -> DataFrame:

@@ -123,6 +123,22 @@ def test_join_equals_all_pairs(docs, by_id, monkeypatch, rare):
     assert found == brute.components(by_id.items())
 
 
+def test_every_link_is_counted(docs, by_id, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SMALL_GROUP", 4)
+    sets = {i: brute.shingles(t) for i, t in by_id.items()}
+    wanted = collections.Counter()
+    for i, x in sets.items():
+        wanted[i] += sum(i != j and bool(x) and 100 * len(x & y) >= 75 * len(x | y) for j, y in sets.items())
+    found = ngram_join.count_links(docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.n_links) for r in found} == {i: (len(sets[i]), n) for i, n in wanted.items()}
+    assert len(found) == len(sets) and max(wanted.values()) > 5
+    members, links = ngram_join.every_link(docs)
+    named = {r.ref: sets[r.doc_id] for r in members.collect() if r.ref is not None}
+    pairs = [(r.a, r.b) for r in links.collect()]
+    assert set(pairs) == {(a, b) for a, x in named.items() for b, y in named.items() if a < b and 100 * len(x & y) >= 75 * len(x | y)}
+    assert len(pairs) == len(set(pairs))
+
+
 def test_signatures_of_linked_sets_meet():
     rng = np.random.default_rng(1)
     for size in (2, 3, 4, 7, 12, 40, 90):
