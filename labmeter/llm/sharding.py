@@ -6,11 +6,19 @@ capacity is found by binary search, checked greedily. The driver never sees grou
 hashes, 2 ** 16 at first. Each round opens at most MOST_OPEN of the ranges where a cut can still fall, the
 largest first, into 2 ** 8 finer ones, until those hold single groups; the last search is exact.
 
+The capacity bounds the largest shard only. Groups larger than an even share then get shards of their own, the parts
+between them share out the other shards by the same search, and inside a part each cut falls as near to an even share of
+what is left as the part's capacity allows. Ranges beside these cuts are opened likewise. Of several ways to set large groups
+apart the one with the largest smallest shard counts.
+
 Texts with the same hash stay together (for different texts: probability 2 ** -64 a pair).
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +26,7 @@ from labmeter.llm.scratch import keep
 
 FIRST_BITS, NEXT_BITS = 16, 8
 MOST_OPEN = 256
+APART = (1, 2, 4, 8)
 SLOTS = 1024
 SIGN = -(1 << 63)
 
@@ -51,6 +60,87 @@ def smallest_capacity(sums: list[int], shards: int) -> int:
     return low
 
 
+def _capacity(ends: list[int], parts: list[tuple[int, int]], shards: int) -> int:
+    """Smallest capacity at which greedy fills of the parts need at most ``shards`` shards. ``ends``: running sums from 0."""
+
+    def fits(capacity: int) -> bool:
+        left = shards
+        for start, stop in parts:
+            while start < stop:
+                reached = bisect_right(ends, ends[start] + capacity, start, stop + 1) - 1
+                if reached == start or not left:
+                    return False
+                start, left = reached, left - 1
+        return True
+
+    low, high = 0, max((ends[b] - ends[a] for a, b in parts), default=0)
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if fits(middle) else (middle + 1, high)
+    return low
+
+
+def _even_cuts(ends: list[int], start: int, stop: int, shards: int) -> list[int]:
+    """Cuts of a part into shards (or one for each group), each as near to an even share of the rest as capacity allows."""
+    shards = min(shards, stop - start)
+    capacity, least, cuts = _capacity(ends, [(start, stop)], shards), [stop], []
+    for _ in range(shards - 1):  # where the last 1, 2, ... shards can begin at the earliest
+        least.append(bisect_left(ends, ends[least[-1]] - capacity, start, stop + 1))
+    for left in range(shards - 1, 0, -1):
+        first = max(least[left], start + 1)
+        last = min(bisect_right(ends, ends[start] + capacity, start, stop + 1) - 1, stop - left)
+        wanted = ends[start] + (ends[stop] - ends[start]) / (left + 1)
+        start = min(last, bisect_left(ends, wanted, first, last + 1))
+        if start > first and wanted - ends[start - 1] < ends[start] - wanted:
+            start -= 1
+        cuts.append(start)
+    return cuts
+
+
+def _larger(sums: list[int], shards: int, times: int) -> list[int]:
+    """Indexes of what exceeds ``times`` the even share, where the share is that of the others over the other shards."""
+    order = sorted(range(len(sums)), key=lambda i: -sums[i])[:shards]
+    rest, found = sum(sums), []
+    for i in order:
+        if len(found) + 1 >= shards or sums[i] * (shards - len(found)) <= times * rest:
+            break
+        rest -= sums[i]
+        found.append(i)
+    return sorted(found)
+
+
+def balanced_cuts(sums: list[int], shards: int, capacity: int) -> list[int]:
+    """Indexes before which shards begin, none above ``capacity`` (which can be met), the smallest as large as may be."""
+    ends = [0, *accumulate(sums)]
+    best: tuple[tuple[int, int], list[int]] | None = None
+    for apart in {tuple(_larger(sums, shards, times)) for times in APART} | {()}:
+        edges = [(a, b) for a, b in zip([0, *(i + 1 for i in apart)], [*apart, len(sums)]) if a < b]
+        free = shards - len(apart)
+        if len(edges) > free:
+            continue
+        share = _capacity(ends, edges, free)
+        used = [_needed(ends, a, b, share) for a, b in edges]
+        for _ in range(free - sum(used)):  # one more to the part with the fullest shards that can still be cut
+            open_parts = [j for j, (a, b) in enumerate(edges) if used[j] < b - a]
+            if open_parts:
+                used[max(open_parts, key=lambda j: (ends[edges[j][1]] - ends[edges[j][0]]) / used[j])] += 1
+        begins = {a for a, _ in edges} | set(apart)
+        for (a, b), n in zip(edges, used):
+            begins.update(_even_cuts(ends, a, b, n))
+        cuts = sorted(begins - {0})
+        loads = [ends[b] - ends[a] for a, b in zip([0, *cuts], [*cuts, len(sums)])]
+        if max(loads) <= capacity and (best is None or (len(loads), min(loads)) > best[0]):
+            best = (len(loads), min(loads)), cuts
+    return best[1] if best else []
+
+
+def _needed(ends: list[int], start: int, stop: int, capacity: int) -> int:
+    count = 0
+    while start < stop:
+        start, count = bisect_right(ends, ends[start] + capacity, start, stop + 1) - 1, count + 1
+    return count
+
+
 def _summed(groups: DataFrame, bit: int, within: int = 0, prefixes: list[int] | None = None) -> list[Segment]:
     """Sums of ranges of 2 ** bit hashes, all or inside the given ranges of 2 ** within hashes."""
     rows = groups
@@ -96,18 +186,32 @@ def cut_hashes(groups: DataFrame, shards: int) -> tuple[list[int], int]:
         zones = _where_cuts_fall(sums, low, high, shards)
         wide = sorted((i for i in zones if segments[i][1]), key=lambda i: -segments[i][2])[:MOST_OPEN]
         if not wide or low >= high:
-            return [segments[i][0] for i in shards_needed(sums, high, shards) or []], high
-        bit = segments[wide[0]][1]
-        opened = {i for i in wide if segments[i][1] == bit}
-        finer = _summed(groups, max(0, bit - NEXT_BITS), bit, [segments[i][0] >> bit for i in opened])
-        segments = sorted([s for i, s in enumerate(segments) if i not in opened] + finer)
+            break
+        segments = _opened(groups, segments, wide)
+    while True:
+        sums = [s[2] for s in segments]
+        cuts = balanced_cuts(sums, shards, high)
+        beside = {j for i in cuts for j in (i - 1, i)} | set(_larger(sums, shards, 1))
+        wide = sorted((i for i in beside if segments[i][1]), key=lambda i: -segments[i][2])[:MOST_OPEN]
+        if not wide:
+            return [segments[i][0] for i in cuts], high
+        segments = _opened(groups, segments, wide)
+
+
+def _opened(groups: DataFrame, segments: list[Segment], wide: list[int]) -> list[Segment]:
+    """The segments with those of ``wide`` that are as wide as its first replaced by finer ones."""
+    bit = segments[wide[0]][1]
+    opened = {i for i in wide if segments[i][1] == bit}
+    finer = _summed(groups, max(0, bit - NEXT_BITS), bit, [segments[i][0] >> bit for i in opened])
+    return sorted([s for i, s in enumerate(segments) if i not in opened] + finer)
 
 
 def assign_shards(docs: DataFrame, shards: int = 24, ids: str = "doc_id", text: str = "text", overhead: int = 8) -> DataFrame:
     """(ids, size, text_crc32, shard, slot) for each row.
 
     Null text: no bytes, in one group with the empty text. Equal rows are rows of one group; slots of
-    rows with equal ids stand in any order. A group larger than an even share fills a shard of its own.
+    rows with equal ids stand in any order. A group larger than an even share fills a shard of its own; the rest is
+    spread evenly over the others (``balanced_cuts``).
     An empty table gives no rows. Slots have no gap: rows are numbered inside SLOTS cells of each shard
     (by a hash of the id, so that a large group spreads) after the number of rows of the cells before.
     """

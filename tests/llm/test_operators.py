@@ -175,6 +175,31 @@ def test_shards_are_minimax(spark, docs, by_id, monkeypatch):
     assert max(loads.values()) == sharding.smallest_capacity(ordered, 5)
 
 
+def test_shards_beside_a_large_group_are_balanced(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "FIRST_BITS", 4)
+    monkeypatch.setattr(sharding, "NEXT_BITS", 4)
+    rows = [(i, "x" * 100 if i % 3 == 0 else f"text {i} " + "y" * 92) for i in range(3000)]
+    loads = collections.Counter()
+    for r in sharding.assign_shards(spark.createDataFrame(rows, "doc_id long, text string"), 24).collect():
+        loads[r.shard] += r["size"]
+    share = (sum(loads.values()) - 1000 * 108) / 23
+    assert len(loads) == 24 and max(loads.values()) == 1000 * 108
+    assert all(0.5 * share < n < 1.2 * share for n in loads.values() if n != 1000 * 108)  # what lies before it is half a share
+    assert sum(0.95 * share < n < 1.05 * share for n in loads.values()) >= 22
+
+
+def test_balanced_cuts_keep_the_capacity():
+    rng = random.Random(4)
+    for _ in range(3000):
+        sums = [rng.choice((1, 2, 3, 8, 20, 100)) + rng.randrange(3) for _ in range(rng.randint(1, 40))]
+        shards = rng.randint(1, 9)
+        capacity = sharding.smallest_capacity(sums, shards)
+        cuts = sharding.balanced_cuts(sums, shards, capacity)
+        loads = [sum(sums[a:b]) for a, b in zip([0, *cuts], [*cuts, len(sums)])]
+        assert max(loads) == capacity and len(loads) == min(shards, len(sums)) and min(loads) > 0
+    assert sharding.balanced_cuts([1] * 100, 24, 5) != sharding.shards_needed([1] * 100, 5, 24)
+
+
 def test_fingerprints_follow_the_order_and_estimate_likeness(docs, by_id, monkeypatch):
     monkeypatch.setattr(fingerprints, "ROWS_A_CELL", 40)
     rows = sorted(by_id.items(), reverse=True)
