@@ -87,7 +87,7 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKED).alias("text"),
     )
-    return chat.read_back(chat.format_conversations(turns.unionByName(one)))
+    return chat.read_back(chat.format_conversations(turns.unionByName(one), stateless=True))
 
 
 def _shipped(query: Query) -> Query:

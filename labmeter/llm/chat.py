@@ -6,9 +6,10 @@ template has rewritten history; the turn is reported and spans that reach past t
 turn's span is found by rendering the turn with two other texts: outputs differ first where the text begins,
 and what follows the text has the same length for both.
 
-Work grows with the square of the turns rendered together, so that a conversation is cut into blocks of BLOCK
-turn numbers, each rendered alone; up to BLOCK turns it is one call. Blocks of a long conversation
-are dealt to different tasks.
+Work grows with the square of the turns rendered together. Templates are rendered whole prefix by prefix, so that a
+conversation is one call. Where the caller declares a template stateless (a list of turns renders to what its parts render to, one
+after the other) a conversation is cut into blocks of BLOCK turns, by count and not by turn number, which are rendered
+alone and dealt to different tasks.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 1024
@@ -143,23 +144,41 @@ def _formatted(make: Callable[[], object], learned: tuple[str, ...]):
 
 def format_conversations(
     turns: DataFrame, make: Callable[[], object] = TurnTemplate, learned: tuple[str, ...] = ("assistant",), block: int = BLOCK,
+    stateless: bool = False,
 ) -> DataFrame:
-    """One row per conversation and block: formatted text, turn spans, loss spans, turns that rewrote history.
+    """One row per conversation: formatted text, turn spans, loss spans, turns that rewrote history.
+
+    With ``stateless`` one row per conversation and block of turns; spans and turns then count from the block's beginning.
 
     ``turns`` has conv_id, turn, role, text; rows stand by turn, those with equal turns by role and text; all stay. Null
     role and text: empty. A null turn comes first, a null conv_id is a conversation of its own. An empty table gives no rows.
     """
     rows = turns.select(
-        F.col("conv_id").cast("bigint").alias("conv_id"),
-        F.coalesce(F.floor(F.col("turn") / block), F.lit(-1)).cast("bigint").alias("block"), "turn",
+        F.col("conv_id").cast("bigint").alias("conv_id"), "turn",
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
+    rows = _in_blocks(rows, block) if stateless else rows.withColumn("block", F.lit(0).cast("bigint"))
     return (
-        rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "turn", "role", "text")
-        .mapInArrow(_formatted(make, learned), SCHEMA)
+        rows.select("conv_id", "block", "turn", "role", "text").repartition("conv_id", "block")
+        .sortWithinPartitions("conv_id", "block", "turn", "role", "text").mapInArrow(_formatted(make, learned), SCHEMA)
     )
 
 
+def _in_blocks(rows: DataFrame, block: int) -> DataFrame:
+    """Adds ``block``: the number of turns before, divided by ``block``.
+
+    Turns are numbered inside cells of ``block`` turn numbers; those of earlier cells are summed from the cells' counts.
+    """
+    rows = rows.withColumn("cell", F.floor(F.col("turn") / block))
+    earlier = Window.partitionBy("conv").orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(F.col("conv_id").alias("conv"), F.col("cell").alias("c")).agg(F.count("*").alias("n"))
+    counts = counts.select("conv", "c", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("conv_id", "cell").orderBy("turn", "role", "text")
+    numbered = rows.withColumn("inside", F.row_number().over(inside) - 1)
+    same = F.col("conv_id").eqNullSafe(F.col("conv")) & F.col("cell").eqNullSafe(F.col("c"))
+    return numbered.join(counts, same).withColumn("block", F.floor((F.col("before") + F.col("inside")) / block))
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     template = TurnTemplate()
     for batch in batches:

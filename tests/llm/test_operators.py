@@ -287,6 +287,25 @@ def test_chat_reads_back_and_finds_rewriting(spark):
     assert kept.rewritten == [3] and kept.loss[1] is None and kept.formatted[slice(*kept.loss[3])] == "two"
 
 
+@pytest.mark.parametrize("step", [1, 100_000])
+def test_long_conversations_are_whole(spark, step):
+    class Headed(chat.TurnTemplate):  # a header, and only the last three turns
+        def render(self, turns):
+            return f"{turns[0][1] if turns else ''}!\n" + super().render(turns[-3:])
+
+    said = [("assistant" if i % 50 == 1 else "user", f"t{i}") for i in range(1100)]
+    rows = [(c, i * step - 2000, r, t) for c in (4, None) for i, (r, t) in enumerate(said)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    wanted = chat.locate(Headed().render, said, ("assistant",))
+    found = chat.format_conversations(turns, Headed).collect()
+    assert len(found) == 2 and all((r.formatted, r.rewritten) == (wanted.formatted, wanted.rewritten) for r in found)
+    assert max(wanted.rewritten) > 1024
+    blocks = chat.format_conversations(turns, stateless=True).collect()
+    assert sorted((r.conv_id or 0, r.block, r.n_turns) for r in blocks) == [(0, 0, 1024), (0, 1, 76), (4, 0, 1024), (4, 1, 76)]
+    whole = {c: "".join(r.formatted for r in sorted(blocks, key=lambda r: r.block) if r.conv_id == c) for c in (4, None)}
+    assert set(whole.values()) == {chat.TurnTemplate().render(said)}
+
+
 def test_neighbours_find_the_nearest(spark):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(8, 16))
