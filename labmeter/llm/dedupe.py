@@ -10,18 +10,18 @@ from labmeter.llm.scratch import keep
 
 
 def one_of_each(docs: DataFrame, ids: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
-    """The row with the smallest id of each group of linked documents, with all its columns.
+    """One row of each group of linked documents, with all its columns: that with the smallest id.
 
-    Documents without words are groups of their own. Of rows with one id, one stays. Rows without id
-    cannot be named by another row: one of each text stays. An empty table stays empty.
+    Rows are told apart by a number and not by id, so that rows with one id and different texts, and rows without id, are
+    grouped by their texts alone. Rows without id form groups among themselves, beside those with id. Documents without words are groups of equal id and text. An empty table stays empty.
     """
-    nameless = docs.filter(F.col(ids).isNull()).dropDuplicates([text])
-    docs = docs.filter(F.col(ids).isNotNull())
-    placed = keep(near_duplicates(docs, ids, text, percent).select(ids, "component_id"), "placed")
-    gone = placed.filter(F.col(ids) != F.col("component_id")).select(ids).distinct()
-    again = placed.groupBy(ids).agg(F.count("*").alias("n")).filter("n > 1").select(ids)
-    kept = docs.join(gone, ids, "left_anti").unionByName(nameless)
-    if again.isEmpty():
-        return kept
-    repeated = kept.join(again, ids, "left_semi").dropDuplicates([ids])
-    return kept.join(again, ids, "left_anti").unionByName(repeated)
+    number = "__row"
+    rows = keep(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    placed = near_duplicates(rows, number, text, percent).select(number, "n_shingles", "component_id")
+    named = rows.select(number, F.col(ids).alias("id"), F.xxhash64(text).alias("h"))
+    placed = keep(placed.join(named, number), "placed")
+    order = F.struct("id", "h", number)
+    worded = placed.filter("n_shingles > 0").groupBy("component_id", F.col("id").isNull()).agg(F.min(order).alias("least"))
+    bare = placed.filter("n_shingles = 0").groupBy("id", "h").agg(F.min(order).alias("least"))
+    kept = worded.select(F.col("least")[number].alias(number)).unionByName(bare.select(F.col("least")[number].alias(number)))
+    return rows.join(kept, number, "left_semi").select(*docs.columns)

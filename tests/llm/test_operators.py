@@ -365,6 +365,17 @@ def test_one_of_each_group_stays(spark, by_id):
     assert sorted(t for i, t in kept if i is None) == ["a b", "alone in the world"]
 
 
+def test_rows_and_not_ids_are_removed(spark):
+    long = [f"w{i}" for i in range(40)]
+    near = " ".join([*long[:-1], "other"])
+    rows = [(1, " ".join(long)), (2, near), (2, "a clean text"), (3, "one"), (3, "two"), (None, near), (None, "x y"), (None, "x y"), (4, ""), (5, ""), (None, near + " more")]
+    kept = dedupe.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    wanted = [rows[0], rows[2], rows[3], rows[4], rows[6], rows[8], rows[9]]
+    nameless = [r for r in kept if r.doc_id is None and r.text.startswith(near)]
+    assert len(nameless) == 1
+    assert sorted(str(tuple(r)) for r in kept if r not in nameless) == sorted(map(str, wanted))
+
+
 @pytest.mark.parametrize("name", catalog.ORACLES)
 def test_query_equals_sql(spark, name):
     assert differences(catalog.QUERIES[name](spark, SF), connect(SF), catalog.ORACLES[name]) == []
