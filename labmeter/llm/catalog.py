@@ -10,7 +10,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labmeter.llm import chat, fingerprints, mixing, neighbours, ngram_join, pieces, pii, secrets, sharding, toxicity
+from labmeter.llm import (
+    alignment, chat, fingerprints, mixing, neighbours, ngram_join, packing, periods, pieces, pii, secrets, sharding, toxicity,
+)
 from labmeter.llm.scratch import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +92,20 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(one), stateless=True))
 
 
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces_of = packing.cut(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
+    return packing.place(pieces_of)
+
+
+def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = periods.plant_repeats(table(spark, sf_dir, "documents"))
+    return periods.run_digest(periods.find_runs(planted))
+
+
+def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.count_links(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -103,6 +119,7 @@ QUERIES: dict[str, Query] = {
         "op1_mix_sources": mix, "op2_secret_scan": secret_scan, "op3_toxicity": toxic, "op4_ngram_join": join,
         "op5_neighbours": search, "op6_personal_data": personal, "op7_shards": shards, "op8_fingerprints": edits,
         "op9_pieces": encoded, "op10_chat": conversations,
+        "op11_packing": packed, "op12_periods": periodic, "op13_alignment": aligned,
         "op4_ngram_links": links,
     }.items()
 }
