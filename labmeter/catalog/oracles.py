@@ -433,6 +433,7 @@ ORACLES: dict[str, str] = {
                {_state('l.end_ts')} AS state, l.lab, l.email
         FROM labs l WHERE l.vm_name LIKE '%-Persistent-%'""", "labs", "last_deleted"),
     "attribute_events": _with(_attributed(_CONTAINS, True), "addressed", "labs"),
+    "attribute_indexed": _with(_attributed(_CONTAINS, True), "addressed", "labs"),
     "attribute_events_exact": _with(_attributed(_EXACT, False), "addressed", "labs"),
     "attribute_events_now": _with(_attributed(_AT_NOW, False), "addressed", "labs"),
     "rejected_events": _with(f"""

@@ -2,10 +2,9 @@
 
 An event's address contains the reservation's RDP text, and its time lies in
 the reservation. Neither half becomes a nested loop or a list of pairs:
-- distinct addresses are cut into substrings of the lengths that occur among
-  RDP texts, and meet those texts in an equi-join;
-- only reservations whose RDP is asked for are cut, and only inside the time that is
-  asked for, into calendar cells (32768, 1024, 32 and single days, hours, minutes,
+- RDP texts stand in an index under their rarest q-gram; distinct addresses look up their
+  own q-grams (`contains`);
+- reservations are cut, only inside the time that is asked for, into calendar cells (32768, 1024, 32 and single days, hours, minutes,
   seconds): a few hundred at most, however far off an end lies. Cells of one RDP are
   merged into one row with the number of reservations and the best of them. An event
   asks for one cell per unit, so its work does not grow with the number of
@@ -14,7 +13,7 @@ the reservation. Neither half becomes a nested loop or a list of pairs:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 
 from labmeter.functions.clock import epoch_of, moment
 from labmeter.functions.text import DAY, HOUR, MINUTE
+from labmeter.operators.contains import containing
 from labmeter.operators.ordered import spread_group
 
 CELL_UNITS = (32768 * DAY, 1024 * DAY, 32 * DAY, DAY, HOUR, MINUTE, 1)
@@ -33,8 +33,8 @@ def _floor(value: str, unit: int) -> str:
     return f"({value} - pmod({value}, {unit})) div {unit}"
 
 
-def _runs(intervals: DataFrame) -> DataFrame:
-    """(rdp, rank, unit, first, end): runs of calendar cells, from `first` up to but not `end`,
+def _runs(intervals: DataFrame, *keys: str) -> DataFrame:
+    """(rdp, *keys, rank, unit, first, end): runs of calendar cells, from `first` up to but not `end`,
     that tile [start, stop) in epoch seconds with cells as large as possible.
 
     Where a coarse unit fits at all, a finer one only has to fill the two edges.
@@ -54,93 +54,98 @@ def _runs(intervals: DataFrame) -> DataFrame:
             runs.append(f"struct({unit} AS unit, {right} AS first, {high} AS end)")
         coarser = unit
     return (
-        intervals.selectExpr("rdp", "rank", *bounds)
-        .selectExpr("rdp", "rank", f"inline(array({', '.join(runs)}))")
+        intervals.selectExpr("rdp", *keys, "rank", *bounds)
+        .selectExpr("rdp", *keys, "rank", f"inline(array({', '.join(runs)}))")
         .filter("first < end")
     )
 
 
-def reservation_cells(reservations: DataFrame, asked: DataFrame | None = None) -> DataFrame:
-    """(rdp, unit, cell, n, best): reservations that cover a calendar cell entirely.
-
-    `best` orders by latest start, then by name. One row per RDP and cell; the
-    merge combines map-side. `asked` (rdp, ts) leaves out RDPs and times that no
-    moment lies in.
-    """
+def ranked_intervals(reservations: DataFrame) -> DataFrame:
+    """(rdp, rank, start, stop): RDP texts in lower case, seconds from start up to but not stop; `rank` orders by latest
+    start, then by name."""
     valid = reservations.filter("rdp IS NOT NULL AND start_ts <= end_ts").select(
         F.lower("rdp").alias("rdp"),
         epoch_of(F.col("start_ts")).alias("start"), (epoch_of(F.col("end_ts")) + 1).alias("stop"),
         "vm_name",
     )
-    ranked = valid.selectExpr("rdp", "start", "stop", "struct(-start AS age, vm_name) AS rank")
-    if asked is not None:
-        at = epoch_of(F.col("ts"))
-        low, high = (asked.agg(bound(at).alias("at")).scalar() for bound in (F.min, F.max))
-        ranked = ranked.join(asked.select("rdp").distinct(), "rdp", "left_semi").select(
-            "rdp", "rank", F.greatest("start", low).alias("start"),
-            F.least("stop", high + 1).alias("stop"),
-        ).filter("start < stop")
-    tiles = _runs(ranked).selectExpr(
-        "rdp", "rank", "unit", "explode(sequence(first, end - 1)) AS cell"
+    return valid.selectExpr("rdp", "struct(-start AS age, vm_name) AS rank", "start", "stop")
+
+
+def _clipped(intervals: DataFrame, times: DataFrame) -> DataFrame:
+    """What of the intervals lies between the first and the last of the times (ts)."""
+    at = epoch_of(F.col("ts"))
+    bounds = times.agg(F.struct(F.min(at).alias("low"), F.max(at).alias("high")).alias("at")).scalar()
+    return intervals.withColumns({
+        "start": F.greatest("start", bounds["low"]), "stop": F.least("stop", bounds["high"] + 1),
+    }).filter("start < stop")
+
+
+def interval_cells(intervals: DataFrame, *keys: str) -> DataFrame:
+    """(rdp, *keys, unit, cell, n, best): how many intervals cover a calendar cell entirely, and the first by rank."""
+    tiles = _runs(intervals, *keys).selectExpr(
+        "rdp", *keys, "rank", "unit", "explode(sequence(first, end - 1)) AS cell"
     )
-    return tiles.groupBy("rdp", "unit", "cell").agg(
+    return tiles.groupBy("rdp", *keys, "unit", "cell").agg(
         F.count(F.lit(1)).alias("n"), F.min("rank").alias("best")
     )
 
 
-def address_matches(addresses: DataFrame, rdps: DataFrame) -> DataFrame:
-    """(address, rdp) for every RDP text contained in an address, case folded."""
-    texts = addresses.select("address").filter(F.col("address").isNotNull()).distinct()
-    known = rdps.select(F.lower("rdp").alias("rdp")).filter(F.col("rdp").isNotNull()).distinct()
-    lengths = known.agg(F.collect_set(F.length("rdp")).alias("lengths")).scalar()
-    parts = (
-        texts.select("address", F.explode(lengths).alias("size"))
-        .filter("size <= length(address)")
-        .selectExpr("address", "size", "explode(sequence(1, length(address) - size + 1)) AS place")
-        .selectExpr("address", "substring(lower(address), place, size) AS rdp")
-        .distinct()
-    )
-    return parts.join(known, "rdp").select("address", "rdp")
+def reservation_cells(reservations: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """(rdp, unit, cell, n, best): reservations that cover a calendar cell entirely.
+
+    `best` orders by latest start, then by name. One row per RDP and cell; the
+    merge combines map-side. `asked` (rdp, ts) leaves out RDPs and times that no
+    moment lies in.
+    """
+    ranked = ranked_intervals(reservations)
+    if asked is not None:
+        ranked = _clipped(ranked, asked).join(asked.select("rdp").distinct(), "rdp", "left_semi")
+    return interval_cells(ranked)
 
 
-def _probes(moments: DataFrame) -> DataFrame:
-    """The cells each moment lies in, one per unit."""
+def probes(moments: DataFrame, *keys: str) -> DataFrame:
+    """(address, ts, rdp, *keys, unit, cell): the cells each moment lies in, one per unit."""
     asked = ", ".join(f"struct({u} AS unit, {_floor('at', u)} AS cell)" for u in CELL_UNITS)
     timed = moments.withColumn("at", epoch_of(F.col("ts")))
-    return timed.selectExpr(*MOMENT, "rdp", f"inline(array({asked}))")
+    return timed.selectExpr(*MOMENT, "rdp", *keys, f"inline(array({asked}))")
 
 
-def _moments(events: DataFrame) -> DataFrame:
+def distinct_moments(events: DataFrame) -> DataFrame:
     """Distinct (address, ts): what an attribution depends on. Copies shrink before they move."""
     known = events.filter(F.col("address").isNotNull() & F.col("ts").isNotNull())
     return spread_group(known, F.col("address"), F.col("ts")).count().select("key.*")
 
 
-def _lookup(moments: DataFrame, sources: Sequence[DataFrame], exact: bool) -> DataFrame:
-    """(address, ts, source, vm_name, match_count) for moments that some source covers.
-
-    Of several sources the first that matches counts.
-    """
-    if exact:
-        located = moments.withColumn("rdp", F.lower("address"))
-    else:
-        rdps = reduce(DataFrame.union, [source.select("rdp") for source in sources])
-        located = moments.join(address_matches(moments, rdps), "address")
-    cells = reduce(DataFrame.unionByName, [
-        reservation_cells(source, located).withColumn("source", F.lit(i))
-        for i, source in enumerate(sources)
-    ])
-    hits = _probes(located).join(cells, ["rdp", "unit", "cell"])
-
+def best_of(hits: DataFrame, n_sources: int = 1) -> DataFrame:
+    """(address, ts, source, vm_name, match_count) of cells met by a moment; of several sources the first counts."""
     best = F.expr("min(struct(source, best.age, best.vm_name)) AS top")
-    counts = [F.expr(f"sum(n) FILTER (WHERE source = {i}) AS n_{i}") for i in range(len(sources))]
-    cases = " ".join(f"WHEN {i} THEN n_{i}" for i in range(len(sources)))
+    counts = [F.expr(f"sum(n) FILTER (WHERE source = {i}) AS n_{i}") for i in range(n_sources)]
+    cases = " ".join(f"WHEN {i} THEN n_{i}" for i in range(n_sources))
     return hits.groupBy(*MOMENT).agg(best, *counts).selectExpr(
         *MOMENT, "top.source AS source", "top.vm_name AS vm_name",
         f"CASE top.source {cases} END AS match_count",
     )
 
 
+def _lookup(events: DataFrame, sources: Sequence[DataFrame], exact: bool) -> DataFrame:
+    """(address, ts, source, vm_name, match_count) for moments of the events that some source covers.
+
+    All sources are cut into cells together, inside the range of the events' own times. Where a few events
+    meet many reservations, a stored index reads less: see `cell_index`.
+    """
+    moments = distinct_moments(events)
+    intervals = reduce(DataFrame.unionByName, [
+        ranked_intervals(source).withColumn("source", F.lit(i)) for i, source in enumerate(sources)
+    ])
+    if exact:
+        located = moments.withColumn("rdp", F.lower("address"))
+    else:
+        located = moments.join(containing(moments, "address", intervals), "address")
+    cells = interval_cells(_clipped(intervals, events), "source")
+    hits = probes(located).join(cells, ["rdp", "unit", "cell"])
+    return best_of(hits, len(sources))
+
+
 def attribute_events(
     events: DataFrame,
     reservations: DataFrame,
@@ -156,6 +161,16 @@ def attribute_events(
     text. `overrides` gives fixed names to addresses that contain a text, before
     any lookup.
     """
+    return attributed(events, lambda asked: _lookup(asked, [reservations], exact), now, overrides)
+
+
+def attributed(
+    events: DataFrame,
+    lookup: Callable[[DataFrame], DataFrame],
+    now: Column | datetime | str | None = None,
+    overrides: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """`attribute_events` by a lookup of one's own, from events to (address, ts, vm_name, match_count)."""
     fixed = F.lit(None).cast("string")
     for part, name in reversed(list((overrides or {}).items())):
         fixed = F.when(F.col("address").contains(part), name).otherwise(fixed)
@@ -164,7 +179,7 @@ def attribute_events(
     keys = MOMENT
     if now is not None:
         looked_up, keys = looked_up.withColumn("ts", moment(now)), ["address"]
-    found = _lookup(_moments(looked_up), [reservations], exact).select(
+    found = lookup(looked_up).select(
         *keys, F.col("vm_name").alias("found_name"), F.col("match_count").alias("found")
     )
     matches = F.when(F.col("fixed_name").isNotNull(), 1).otherwise(F.coalesce("found", F.lit(0)))
@@ -189,7 +204,7 @@ def lookup_first(
 
     Adds `source`, the position in `sources`, to the columns of `attribute_events`.
     """
-    found = _lookup(_moments(events), sources, exact)
+    found = _lookup(events, sources, exact)
     return events.join(found, MOMENT).select(*events.columns, "source", "vm_name", "match_count")
 
 
