@@ -16,6 +16,8 @@ def one_of_each(docs: DataFrame, ids: str = "doc_id", text: str = "text", percen
     grouped by their texts alone. Rows without id form groups among themselves, beside those with id. Documents without words are groups of equal id and text. An empty table stays empty.
     """
     number = "__row"
+    while number in docs.columns:
+        number += "_"
     rows = keep(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
     placed = near_duplicates(rows, number, text, percent).select(number, "n_shingles", "component_id")
     named = rows.select(number, F.col(ids).alias("id"), F.xxhash64(text).alias("h"))

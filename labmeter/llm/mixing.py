@@ -144,8 +144,10 @@ def mix_sources(
 
 
 def apply_mix(docs: DataFrame, ids: str = "doc_id", text: str = "text", source: str = "source", **rules) -> DataFrame:
-    """The mix itself: every document as many times as it is taken, with its own columns."""
-    names = docs.columns
-    mixed = mix_sources(docs, ids, text, source, carry=[c for c in names if c not in (ids, source)], **rules)
+    """The mix itself: every document as many times as it is taken, with its own columns, whatever their names."""
+    whole = docs.select(
+        F.col(ids).alias("own_id"), F.col(text).alias("own_text"), F.col(source).alias("own_source"), F.struct("*").alias("own")
+    )
+    mixed = mix_sources(whole, "own_id", "own_text", "own_source", carry=["own"], **rules)
     repeats = F.explode(F.array_repeat(F.lit(1), F.col("copies")))
-    return mixed.filter("copies > 0").withColumn("copy", repeats).select(*names)
+    return mixed.filter("copies > 0").select("own", repeats.alias("copy")).select("own.*")

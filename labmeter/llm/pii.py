@@ -223,12 +223,13 @@ def pii_digest(found: DataFrame, ids: str = "doc_id") -> DataFrame:
 
 
 def mask_pii(docs: DataFrame, ids: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with every span replaced by [KIND]; overlapping spans are replaced together."""
-    names = docs.columns
-    found = find_pii(docs, ids, text, carry=[c for c in names if c != ids])
+    """The documents with every span replaced by [KIND]; overlapping spans are replaced together. Other columns pass, whatever their names."""
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text])
+    whole = docs.select(F.col(ids).alias("own_id"), F.col(text).alias("own_text"), others.alias("own"))
+    found = find_pii(whole, "own_id", "own_text", carry=["own_text", "own"])
     spans = F.array_sort(F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-    whole = F.col(text)
+    whole = F.col("own_text")
 
     def step(state: Column, s: Column) -> Column:
         gap = F.substring(whole, (state["at"] + 1).cast("int"), F.greatest(s["start"] - state["at"], F.lit(0)).cast("int"))
@@ -239,4 +240,5 @@ def mask_pii(docs: DataFrame, ids: str = "doc_id", text: str = "text") -> DataFr
         spans, start, step,
         lambda state: F.concat(F.array_join(state["out"], ""), F.substring(whole, (state["at"] + 1).cast("int"), F.length(whole))),
     )
-    return found.withColumn(text, F.when(F.size("found") > 0, masked).otherwise(whole)).select(*names)
+    shown = F.when(F.size("found") > 0, masked).otherwise(whole)
+    return found.select(*[shown.alias(c) if c == text else F.col(f"own.`{c}`") for c in docs.columns])

@@ -1,12 +1,15 @@
 """Toxicity by multiple-instance learning.
 
-Only documents have labels. A sentence's score is a logistic function of its words' weights; a document's is the noisy-or
-of its sentences, 1 - prod(1 - p). Weights are fitted to the documents' labels through that noisy-or,
-so that they tell which sentences make a document toxic, and those are reported.
-
-The fit uses a bounded sample: at most ``SAMPLE`` labelled documents of either label, the first by a hash of the id, as long as
-they have ``SAMPLE_WORDS`` words together, and words that MIN_DOCS of them have (``MOST_FEATURES`` at most). Scoring reads whole
-texts of all documents.
+Only documents have labels. A sentence's score rises with its words' weights: 0 where they sum up to none, else the part of a logistic
+function above its value without words. A document's is the noisy-or of its sentences, 1 - prod(1 - p), so that length alone makes
+no text toxic. Weights are fitted to the documents' labels through that noisy-or (with a small leak of the whole document), so
+that they tell which sentences make a document toxic, and those are reported.
+
+The fit uses a bounded sample: at most ``SAMPLE`` labelled documents of either label, the first by a hash of the id, that
+have ``SAMPLE_WORDS`` words together (one of more than a hundredth of these comes last), and the features that MIN_DOCS of
+them have (more, where otherwise more than ``MOST_FEATURES`` would stay). Features are counted and numbered by Spark; the
+driver gets numbers of those that stay. After the first WARM steps only features with a weight or with a pull
+above the shrinking go on; every REVIEW steps all others may come back. Scoring reads whole texts of all documents.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ SAMPLE = 4096
 SAMPLE_WORDS = 3_000_000
 MIN_DOCS = 5
 MOST_FEATURES = 1 << 16
-WARM, STEPS = 40, 800
+WARM, REVIEW, STEPS = 40, 200, 800
+LEAK = 0.05
 CLEAN_PART = 0.75
 RATE = 1.0
 SHRINK = 0.0002
@@ -104,13 +108,19 @@ class Model:
         if len(maybe):
             place = np.minimum(np.searchsorted(self.words, flat[maybe]), len(self.words) - 1)
             each[maybe] = np.where(self.words[place] == flat[maybe], self.weights[place], 0.0)
-        return logistic(np.add.reduceat(each, found.first * found.words.shape[1]) + self.bias)
+        return above(np.add.reduceat(each, found.first * found.words.shape[1]), self.bias)
 
 
 def logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def above(sums: np.ndarray, bias: float) -> np.ndarray:
+    """What a sentence adds to having no words that count: (p - p0) / (1 - p0), never below 0."""
+    least = logistic(np.array([bias]))[0]
+    return np.maximum(0.0, (logistic(sums + bias) - least) / (1 - least))
+
+
 def noisy_or(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     """1 - prod(1 - p) over the sentences of each text; 0 without sentences."""
     sums = np.concatenate([[0.0], np.cumsum(np.log1p(-np.minimum(scores, 1 - 1e-12)))])
@@ -159,63 +169,129 @@ def sample(docs: DataFrame, labels: DataFrame, ids: str, text: str, most: int, m
             _sampled, "h bigint, toxic int, n bigint, words binary, sizes binary"
         ), "sample",
     )
-    so_far = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
-    few = packed.groupBy("h").agg(F.min("n").alias("n")).withColumn("sum", F.sum("n").over(so_far))
-    few = few.filter(F.col("sum") <= most_words).select("h")
+    first = Window.orderBy("late", "h").rowsBetween(Window.unboundedPreceding, 0)
+    each = packed.groupBy("h").agg(F.min("n").alias("n")).withColumn("late", F.col("n") > most_words // 100)
+    few = each.withColumn("sum", F.sum("n").over(first)).filter(F.col("sum") <= most_words).select("h")
     return packed.join(F.broadcast(few), "h").dropDuplicates(["h"])
 
 
-def fit(rows: list, steps: int = STEPS) -> Model:
-    """Proximal gradient steps on the log loss of the noisy-or, clean documents weighing CLEAN_PART of all; small weights shrink to none.
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each feature once a document."""
+    for batch in batches:
+        for row in batch.column("words"):
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.frombuffer(row.as_py(), np.int64)))], names=["word"])
 
-    ``rows``: (toxic, features, number of features by sentence).
-    """
-    if not rows:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), START)
-    labels = np.array([r[0] for r in rows], float)
-    words = [np.frombuffer(r[1], np.uint64) for r in rows]
-    sizes = np.concatenate([np.frombuffer(r[2], np.int64) for r in rows])
-    at = np.concatenate([[0], np.cumsum([len(r[2]) // 8 for r in rows])])
-    seen, counts = np.unique(np.concatenate([np.unique(w) for w in words]), return_counts=True)
-    least = MIN_DOCS
-    while (counts >= least).sum() > MOST_FEATURES:
-        least += 1
-    seen = seen[counts >= least]
-    words = np.concatenate(words)
-    if not len(seen) or not len(sizes):
-        return Model(np.zeros(0, np.uint64), np.zeros(0), START)
-    place = np.minimum(np.searchsorted(seen, words), len(seen) - 1)
-    known = seen[place] == words
-    sentence = np.repeat(np.arange(len(sizes)), sizes)[known]
-    place = place[known]
-    doc = np.repeat(np.arange(len(rows)), np.diff(at))
-    part = CLEAN_PART
-    share = np.where(labels == 1, (1 - part) / max(1, labels.sum()), part / max(1, (1 - labels).sum()))
-    pace = RATE / (0.02 + np.bincount(place, minlength=len(seen)) / len(rows))
-    weights, bias, speed, drift = np.zeros(len(seen)), START, np.zeros(len(seen)), 0.0
+
+def features(sampled: DataFrame) -> np.ndarray:
+    """Sorted hashes of the features to learn: those of MIN_DOCS documents, or of so many that at most MOST_FEATURES stay."""
+    counted = keep(
+        sampled.select("words").mapInArrow(_distinct, "word bigint").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") >= MIN_DOCS), "features",
+    )
+    least, left = MIN_DOCS, 0
+    for n, number in sorted(map(tuple, counted.groupBy("n").count().collect()), reverse=True):  # one row for each number of documents
+        left += number
+        if left > MOST_FEATURES:
+            least = n + 1
+            break
+    words = counted.filter(F.col("n") >= least).select("word").toPandas()["word"].to_numpy()
+    return np.sort(words.astype(np.int64).view(np.uint64))
+
+
+def numbered_features(sampled: DataFrame, words: np.ndarray) -> DataFrame:
+    """(h, toxic, places, sizes): numbers of the features of each sentence that has any, as 16 bits each, and how many each has."""
+    shared = sampled.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            rows = []
+            for data, sizes in zip(batch.column("words"), batch.column("sizes")):
+                own, sizes = np.frombuffer(data.as_py(), np.uint64), np.frombuffer(sizes.as_py(), np.int64)
+                place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                held = known[place] == own
+                number = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[held], minlength=len(sizes))
+                rows.append((place[held].astype(np.uint16).tobytes(), number[number > 0].astype(np.int32).tobytes()))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("h"), batch.column("toxic"), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()),
+            ], names=["h", "toxic", "places", "sizes"])
+
+    return sampled.select("h", "toxic", "words", "sizes").mapInArrow(run, "h bigint, toxic int, places binary, sizes binary")
+
+
+@dataclass
+class Sample:
+    """Labels of documents, numbers of the features of all their sentences in order, how many each sentence has, and the n + 1 places
+    where each document's sentences begin."""
+
+    labels: np.ndarray
+    places: np.ndarray
+    sizes: np.ndarray
+    at: np.ndarray
+
+    def only(self, kept: np.ndarray) -> Sample:
+        """With those features only, numbered anew; sentences left without one go."""
+        inside = kept[self.places]
+        number = np.add.reduceat(inside, np.cumsum(self.sizes) - self.sizes, dtype=np.int32) if len(self.sizes) else self.sizes
+        at = np.concatenate([[0], np.cumsum(number > 0)])[self.at]
+        return Sample(self.labels, (np.cumsum(kept, dtype=np.int32) - 1)[self.places[inside]], number[number > 0], at)
+
+    def pulls(self, weights: np.ndarray, bias: float) -> tuple[np.ndarray, float, float]:
+        """Slope of the loss by each weight and by the bias, and the loss: the log loss of the leaky noisy-or, clean documents weighing
+        CLEAN_PART of all."""
+        share = np.where(
+            self.labels == 1, (1 - CLEAN_PART) / max(1, self.labels.sum()), CLEAN_PART / max(1, (1 - self.labels).sum())
+        )
+        if len(self.sizes):
+            sums = np.add.reduceat(weights[self.places], np.cumsum(self.sizes) - self.sizes)
+        else:
+            sums = np.zeros(0)
+        rises = sums >= 0
+        p, least = logistic(sums + bias), float(logistic(np.array([bias]))[0])
+        missed = (1 - LEAK) * (1 - noisy_or(above(sums, bias), self.at))
+        pull = np.where(self.labels == 1, -missed / (1 - missed), 1.0) * share
+        loss = float((share * np.where(self.labels == 1, -np.log(1 - missed), -np.log(np.maximum(missed, 1e-300)))).sum())
+        each = np.repeat(pull, np.diff(self.at)) * rises
+        slope = np.bincount(self.places, np.repeat(each * p, self.sizes), len(weights))
+        return slope, float((each * (p - least)).sum()), loss
+
+
+def fit(sample: Sample, n_features: int, steps: int = STEPS) -> tuple[np.ndarray, float]:
+    """Weights and bias by proximal gradient steps with momentum; small weights shrink to none."""
+    weights, bias, drift = np.zeros(n_features), START, 0.0
+    speed = np.zeros(n_features)
+    pace = RATE / (0.02 + np.bincount(sample.places, minlength=n_features) / max(1, len(sample.labels)))
+    active, part = np.arange(n_features), sample
     for step in range(steps):
-        if step == WARM:  # from here on only features that have a weight
-            some = np.flatnonzero(weights)
-            kept = np.isin(place, some)
-            place, sentence = np.searchsorted(some, place[kept]), sentence[kept]
-            seen, weights, speed, pace = seen[some], weights[some], speed[some], pace[some]
-        p = logistic(np.bincount(sentence, weights[place], len(sizes)) + bias)
-        whole = np.maximum(noisy_or(p, at), 1e-9)
-        pull = np.where(labels == 1, -(1 - whole) / whole, 1.0) * share
-        slope = pull[doc] * p
-        speed = 0.9 * speed - 0.1 * np.bincount(place, slope[sentence], len(seen))
-        drift = 0.9 * drift - 0.1 * slope.sum()
-        weights = weights + pace * speed
-        weights = np.sign(weights) * np.maximum(0, np.abs(weights) - pace * SHRINK)
+        if step == WARM or step and step % REVIEW == 0:
+            slope, _, _ = sample.pulls(weights, bias)
+            kept = (weights != 0) | (np.abs(slope) > SHRINK)
+            speed[~kept] = 0
+            active, part = np.flatnonzero(kept), sample.only(kept)
+        slope, change, _ = part.pulls(weights[active], bias)
+        speed[active] = 0.9 * speed[active] - 0.1 * slope
+        drift = 0.9 * drift - 0.1 * change
+        own = weights[active] + pace[active] * speed[active]
+        weights[active] = np.sign(own) * np.maximum(0, np.abs(own) - pace[active] * SHRINK)
         bias = min(bias + drift, -3.0)
-    some = np.abs(weights) > 1e-3
-    return Model(seen[some], weights[some], float(bias))
+    return weights, float(bias)
 
 
 def train(docs: DataFrame, labels: DataFrame, ids: str = "doc_id", text: str = "text", most: int = SAMPLE, most_words: int = SAMPLE_WORDS) -> Model:
-    """Fit on the bounded sample, the only rows that reach the driver."""
-    rows = sample(docs, labels, ids, text, most, most_words).select("h", "toxic", "words", "sizes").collect()
-    return fit([(r["toxic"], r["words"], r["sizes"]) for r in sorted(rows, key=lambda r: r["h"])])
+    """Fit on the bounded sample; numbers of its features are all that reaches the driver. Without labels every text scores 0."""
+    sampled = sample(docs, labels, ids, text, most, most_words)
+    words = features(sampled)
+    if not len(words):
+        return Model(words, np.zeros(0), START)
+    found = numbered_features(sampled, words).toPandas().sort_values("h")
+    sizes = [np.frombuffer(x, np.int32) for x in found["sizes"]]
+    at = np.concatenate([[0], np.cumsum([len(x) for x in sizes])])
+    places = np.frombuffer(b"".join(found["places"]), np.uint16).astype(np.int32)
+    taken = Sample(found["toxic"].to_numpy(), places, np.concatenate(sizes), at)
+    del found, sizes
+    weights, bias = fit(taken, len(words))
+    some = np.abs(weights) > 1e-3
+    return Model(words[some], weights[some], bias)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

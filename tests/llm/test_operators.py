@@ -343,8 +343,65 @@ def test_toxicity_learns_from_documents(spark):
     assert sum((r.score >= 0.5) == (r.toxic == 1) for r in held) >= 0.95 * len(held)
     marked = [r.text[s.begin:s.end] for r in held if r.toxic for s in r.offending]
     assert marked and sum("vile" in m for m in marked) >= 0.95 * len(marked)
+    clean = ". ".join(" ".join(rng.choice(noise) for _ in range(8)) for _ in range(12_000))
+    long = spark.createDataFrame([(1, clean), (2, clean + ". na vile word nb")], "doc_id long, text string")
+    assert [r.score >= 0.5 for r in toxicity.score(long, model).orderBy("doc_id").collect()] == [False, True]
+    whole = [(r.score, 1 - np.prod([1 - p for p in plain_scores(r.text, model)])) for r in scored]
+    assert all(abs(a - b) < 1e-9 for a, b in whole)
     nothing = toxicity.train(table, table.select("doc_id", "toxic").limit(0))
-    assert {r.score >= 0.5 for r in toxicity.score(table, nothing).collect()} == {False}
+    assert {r.score for r in toxicity.score(table, nothing).collect()} == {0.0}
+
+
+def plain_scores(text, model):
+    """A sentence's score from the hashes of its words and their beginnings, one by one."""
+    weight = dict(zip(model.words.tolist(), model.weights.tolist()))
+    least = 1 / (1 + np.exp(-model.bias))
+    for sentence in text.split("."):
+        hashes = toxicity.sentences(pa.array([sentence])).words.ravel().tolist()
+        p = 1 / (1 + np.exp(-sum(weight.get(h, 0.0) for h in hashes) - model.bias))
+        yield max(0.0, (p - least) / (1 - least))
+
+
+def test_slopes_follow_the_loss():
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(1, 5, 60).astype(np.int32)
+    at = np.sort(np.append(rng.integers(0, 60, 11), [0, 60]))
+    sample = toxicity.Sample(rng.integers(0, 2, 12), rng.integers(0, 9, sizes.sum()).astype(np.int32), sizes, at)
+    weights, bias = rng.normal(size=9), -2.0
+    slope, drift, loss = sample.pulls(weights, bias)
+    for i in range(9):
+        nudged = weights.copy()
+        nudged[i] += 1e-6
+        assert abs((sample.pulls(nudged, bias)[2] - loss) / 1e-6 - slope[i]) < 1e-4
+    assert abs((sample.pulls(weights, bias + 1e-6)[2] - loss) / 1e-6 - drift) < 1e-4
+    kept = np.array([i % 2 == 0 for i in range(9)])
+    few = sample.only(kept).pulls(weights[kept], bias)
+    assert np.allclose(few[0], sample.pulls(np.where(kept, weights, 0.0), bias)[0][kept])
+
+
+def test_one_long_document_leaves_the_others_in_the_sample(spark):
+    rows = [(i, "a b c d e", i % 2) for i in range(200)] + [(1000 + i, "x " * 900, 0) for i in range(3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    taken = toxicity.sample(table, table.select("doc_id", "toxic"), "doc_id", "text", 4096, 1500)
+    n = sum(not toxicity_held(i) for i, _, _ in rows[:200])
+    assert taken.filter("n = 5").count() == n and taken.filter("n > 5").count() <= 1
+
+
+def toxicity_held(i):
+    return zlib.crc32(str(i).encode()) % 5 == 0
+
+
+def test_columns_named_like_those_of_the_operators_pass(spark):
+    extra = ["size", "target", "taken", "copies", "source_size", "copy", "found", "__row", "own", "own_id", "own_text", "h", "s", "key"]
+    rows = [(i, f"write to a{i}@b.co now and then again", "abc"[i % 3], *[f"{c}{i}" for c in extra]) for i in range(30)]
+    table = spark.createDataFrame(rows, ", ".join(f"{c} string" if c != "doc_id" else "doc_id long" for c in ["doc_id", "text", "source", *extra]))
+    mixed = mixing.apply_mix(table)
+    assert mixed.columns == table.columns and set(map(tuple, mixed.collect())) <= set(rows)
+    masked = pii.mask_pii(table)
+    assert masked.columns == table.columns
+    assert {(r.doc_id, r.text, r.found, r.own_text) for r in masked.collect()} == {(i, "write to [EMAIL] now and then again", f"found{i}", f"own_text{i}") for i in range(30)}
+    kept = dedupe.one_of_each(table.withColumn("text", F.concat("text", F.lit(" "), "doc_id")))
+    assert kept.columns == table.columns and {r["__row"] for r in kept.collect()} <= {r[extra.index("__row") + 3] for r in rows}
 
 
 def test_empty_tables(docs):
