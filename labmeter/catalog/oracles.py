@@ -11,12 +11,14 @@ from labmeter.catalog.queries import (
     EMPLOYEE_FILTERS,
     HOSTS,
     LOW,
+    ODD,
     OVERRIDES,
     RANGE_HIGH,
     RANGE_LOW,
     USAGE_FILTERS,
 )
 from labmeter.sources.samples import NOW as CLOCK
+from labmeter.sources.samples import ODD_LABS, ODD_OPERATION, ODD_RESERVATIONS
 
 NOW = f"TIMESTAMP '{CLOCK}'"
 SHOWN = "'%Y/%m/%d %H:%M:%S'"
@@ -503,3 +505,42 @@ ORACLES: dict[str, str] = {
             FROM ({_changes(True)}))
         WHERE place = 1""", "labs", "employees", "power_log"),
 }
+
+
+# The odd tables -------------------------------------------------------------------
+
+
+def _odd_view(name: str, columns: str, changed: dict[str, str]) -> str:
+    shown = ", ".join(f"{changed.get(c, c)} AS {c}" for c in columns.split())
+    return f"SELECT {shown} FROM ({CTE[name][1]})"
+
+
+ODD_VIEWS = {
+    "labs": _odd_view("labs", "user_id vm_name lab email rdp start_ts end_ts", ODD_LABS),
+    "power_log": f"""
+        SELECT vm_name, ts AS log_ts, {ODD_OPERATION} AS operation
+        FROM lab_events WHERE event_type IN ('signup', 'purchase', 'error')""",
+    "reservations": f"""
+        SELECT * EXCLUDE (res_no) REPLACE ({", ".join(f"{e} AS {c}" for c, e in ODD_RESERVATIONS.items())})
+        FROM (SELECT *, CAST(substr(vm_name, 4) AS INTEGER) AS res_no FROM ({CTE["reservations"][1]}))""",
+}
+FOLDED = {
+    "operation IN ('Powered-On', 'Created')": "lower(operation) IN ('powered-on', 'created')",
+    "operation = 'Deleted'": "lower(operation) = 'deleted'",
+    "department, lab, r.email": "department, min(lab) AS lab, r.email",
+    "WHERE lab IN": "WHERE upper(lab) IN",
+    "GROUP BY full_name, lab,": "GROUP BY full_name, lower(lab),",
+}
+
+
+def _odd(sql: str) -> str:
+    """A query over the odd views, comparing operations and labs without regard to case. Names keep one spelling
+    there: that is what events in any case have to come to."""
+    for name, body in ODD_VIEWS.items():
+        sql = sql.replace(CTE[name][1], body)
+    for exact, folded in FOLDED.items():
+        sql = sql.replace(exact, folded)
+    return sql
+
+
+ORACLES |= {f"{build.__name__}_odd": _odd(ORACLES[build.__name__]) for build in ODD}

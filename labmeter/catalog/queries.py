@@ -20,7 +20,7 @@ from labmeter.operators.cell_index import CellIndex
 from labmeter.plans import listings, usage
 from labmeter.sources import sinks
 from labmeter.sources.folders import own_folder
-from labmeter.sources.samples import NOW, SampleTables
+from labmeter.sources.samples import NOW, OddTables, SampleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -390,8 +390,8 @@ def latest_changes(t: SampleTables) -> DataFrame:
     return changes.latest_changes(extract_changes_deleted(t))
 
 
-def _registered(build: Callable[[SampleTables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(SampleTables(spark, sf_dir))
+def _registered(build: Callable[[SampleTables], DataFrame], tables: type[SampleTables] = SampleTables) -> Query:
+    return lambda spark, sf_dir: build(tables(spark, sf_dir))
 
 
 ALL: dict[str, Query] = {
@@ -412,3 +412,12 @@ ALL: dict[str, Query] = {
         extract_changes_all, extract_changes_deleted, latest_changes,
     )
 }
+
+# Again over tables with missing values, shared addresses and names in any case.
+ODD = (
+    scan_power_log, lab_status, op_codes, closing_events, session_pairs, login_totals_filled, uptime_totals,
+    uptime_intervals, first_last_seen, effective_end, attribute_events, lookup_first, rejected_events,
+    usage_persistent, usage_regular, usage_ratio_minutes, event_timeline, session_list, labs_by_user, labs_by_region,
+    reservation_summary, reservation_pivot, reservation_pivot_all, extract_changes_all, latest_changes,
+)
+ALL |= {f"{build.__name__}_odd": _registered(build, OddTables) for build in ODD}

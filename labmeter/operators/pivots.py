@@ -98,18 +98,20 @@ def reservation_summary(
 ) -> DataFrame:
     """Reservation count and last start per person and lab, for starts in [low, high].
 
-    Reservations shrink to one row per address and lab before they meet employees.
+    Reservations shrink to one row per address and lab before they meet employees. Labs that differ in
+    case are one lab, shown in its first spelling by code points.
     """
     ranged = reservations.filter(started_between(F.col("start_ts"), low, high))
-    small = ranged.groupBy("email", "lab").agg(
-        F.count("vm_name").alias("n"), F.max("start_ts").alias("last_ts")
+    small = ranged.groupBy("email", F.lower("lab").alias("folded_lab")).agg(
+        F.min("lab").alias("lab"), F.count("vm_name").alias("n"), F.max("start_ts").alias("last_ts")
     )
-    keys = ["full_name", "manager", "region", "location", "department", "lab", "email", "ase"]
+    keys = ["full_name", "manager", "region", "location", "department", "folded_lab", "email", "ase"]
+    shown = ["full_name", "manager", "region", "location", "department", "lab", "email"]
     return (
         small.join(employees, "email", "left").groupBy(*keys)
-        .agg(F.sum("n").alias("reservations_count"), F.max("last_ts").alias("last_ts"))
+        .agg(F.min("lab").alias("lab"), F.sum("n").alias("reservations_count"), F.max("last_ts").alias("last_ts"))
         .select(
-            *keys[:-1], "reservations_count", display(F.col("last_ts")).alias("last_reservation"),
+            *shown, "reservations_count", display(F.col("last_ts")).alias("last_reservation"),
             yes_no(F.col("ase")).alias("ase"),
         )
     )

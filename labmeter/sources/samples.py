@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from labmeter.functions.clock import whole_second
 from labmeter.functions.names import CREATED_FORMAT
+from labmeter.sources.conform import conform_names
 
 NOW = "2024-01-31 00:00:00"
 
@@ -133,3 +134,45 @@ class SampleTables:
             "concat('Host Name : pc\\nIPv4 Address : ', rdp) AS config_text",
             "concat('eth0 u/u ', rdp, '/24 LAN') AS router_text",
         )
+
+
+# Rules that the plain views never meet, the same for Spark and the SQL twins: what replaces a column of a view.
+ODD_LABS = {
+    "email": "CASE WHEN user_id % 11 = 3 THEN NULL ELSE email END",
+    "rdp": "CASE WHEN user_id % 17 = 7 THEN NULL WHEN user_id % 19 = 1 THEN '10.240.1.1' ELSE rdp END",
+    "end_ts": "CASE WHEN user_id % 13 = 5 THEN NULL ELSE end_ts END",
+}
+ODD_OPERATION = """CASE
+    WHEN event_type = 'signup' AND event_id % 5 = 0 THEN 'Created' WHEN event_type = 'signup' AND event_id % 5 = 1 THEN 'powered-on'
+    WHEN event_type = 'signup' THEN 'Powered-On' WHEN event_type = 'purchase' AND event_id % 7 = 0 THEN NULL
+    WHEN event_type = 'purchase' AND event_id % 7 = 1 THEN 'Paused' WHEN event_type = 'purchase' THEN 'Suspended'
+    WHEN event_id % 3 = 0 THEN 'DELETED' ELSE 'Deleted' END"""
+ODD_RESERVATIONS = {
+    "email": "CASE WHEN res_no % 23 = 0 THEN NULL ELSE email END",
+    "lab": "CASE WHEN res_no % 2 = 0 THEN lower(lab) ELSE lab END",
+}
+
+
+class OddTables(SampleTables):
+    """The same tables with missing mails, ends, addresses and operations, created and unknown operations, addresses
+    that several reservations share, and names in any case, which are conformed as they are taken in."""
+
+    @cached_property
+    def labs(self) -> DataFrame:
+        plain = SampleTables.labs.func(self)
+        return plain.selectExpr(*[f"{ODD_LABS.get(c, c)} AS {c}" for c in plain.columns])
+
+    @cached_property
+    def _lab_events(self) -> DataFrame:
+        spelled = "CASE event_id % 3 WHEN 0 THEN upper(vm_name) WHEN 1 THEN lower(vm_name) ELSE vm_name END"
+        raw = SampleTables._lab_events.func(self).withColumn("vm_name", F.expr(spelled))
+        return conform_names(raw, self.reservations)
+
+    @cached_property
+    def power_log(self) -> DataFrame:
+        return self._of_types(*OP_OF_TYPE).selectExpr("vm_name", "ts AS log_ts", f"{ODD_OPERATION} AS operation")
+
+    @cached_property
+    def order_reservations(self) -> DataFrame:
+        plain = SampleTables.order_reservations.func(self).withColumn("res_no", F.expr("int(substring(vm_name, 4))"))
+        return plain.selectExpr(*[f"{ODD_RESERVATIONS.get(c, c)} AS {c}" for c in plain.columns if c != "res_no"])

@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from labmeter.sources import readers, schemas, sinks
+from labmeter.sources import conform, readers, schemas, sinks
 from tests.helpers import at, employees, reservations, rows
 
 
@@ -42,3 +42,16 @@ def test_readers_cut_times_to_whole_seconds(spark, tmp_path):
     spark.createDataFrame(rows, "vm_name string, login_ts timestamp_ntz").write.parquet(path)
     read = readers.read_events(spark, path, "logins")
     assert {r.login_ts for r in read.collect()} == {datetime(2024, 1, 1, 9)}
+
+
+def test_names_in_any_case_are_one_vm(spark, tmp_path):
+    labs = reservations(spark, [{"vm_name": "Lab-1"}, {"vm_name": "LAB-2"}, {"vm_name": "lab-2"}, {}])
+    logins = [("LAB-1", at("08:00")), ("lab-1", at("09:00")), ("Lab-2", at("08:00")), ("Gone", None), ("GONE", None), (None, at("07:00"))]
+    wanted = {("Lab-1", at("08:00")): 1, ("Lab-1", at("09:00")): 1, ("LAB-2", at("08:00")): 1, ("gone", None): 2, (None, at("07:00")): 1}
+    batch = spark.createDataFrame(logins, schemas.LOGINS)
+    assert rows(conform.conform_names(batch, labs)) == wanted
+    batch.write.parquet(f"{tmp_path}/in")
+    stream = conform.conform_names(spark.readStream.schema(schemas.LOGINS).parquet(f"{tmp_path}/in"), labs)
+    stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
+        "checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination(120)
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == wanted
