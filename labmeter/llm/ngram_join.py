@@ -4,14 +4,14 @@ A document's set holds the 64-bit hashes of its distinct shingles. Two sets link
 ``100 * |x & y| >= percent * |x | y|``.
 
 1. *Frequencies.* Tokens are counted over all documents. They travel packed, 8 bytes each,
-   to tasks that own a range of the hash space. Two Bloom filters come back: tokens of at
-   least two documents, and frequent ones (more than ``rare`` documents, or as many as the
-   filter holds). Their size is bounded (``FILTER_BYTES``), whatever the input; a full
+   to tasks that own a range of the hash space. Bloom filters come back: tokens of at
+   least two documents, frequent ones (more than ``rare`` documents, or as many as the
+   filter holds), and ever more frequent ones. The size of each is bounded (``FILTER_BYTES``), whatever the input; a full
    filter lets more tokens pass, which costs time and never a link.
 2. *Who can link.* A partner shares at least percent of x's tokens, so x needs that many
    tokens that two documents have. Only such sets go on, once per distinct set.
 3. *Prefixes.* x may miss t = |x| - ceil(percent * |x| / 100) tokens of a partner. Tokens
-   stand in one order for all: rare before frequent, then by hash. Rare tokens are one
+   stand in one order for all: by the number of filters that have them, then by hash, so that the most frequent come last. Rare tokens are one
    class with combinations of one token; frequent tokens are dealt by hash to classes with
    combinations of k tokens. The prefix is extended until the sum over classes of
    max(0, tokens - k + 1) is t + 1: whatever t tokens a partner lacks, one combination
@@ -19,7 +19,7 @@ A document's set holds the 64-bit hashes of its distinct shingles. Two sets link
    can link lie in the same or neighbouring size bands, and each set is indexed for its own
    band and the next), so that a document has about as many combinations as tokens.
 4. *Verify.* Documents meet where they share a combination; of combinations with the same
-   members one is kept. Each such group checks its
+   members one is kept. First every set is checked against one leader of its groups, twice. Then each such group checks its
    members against one of them, then against GROWTH more, and so on; members found connected
    need no more checks, so a group of many near copies costs a few lines of checks and not all
    pairs. What is left in small groups is checked pair by pair; large groups are indexed anew with
@@ -51,6 +51,8 @@ SMALL_GROUP = 48
 MOST_TOKENS = 3
 GROWTH = 8
 KEYS_A_BATCH = 100_000
+LEVEL_POWER = 2
+FIRST_ROUNDS = 2
 
 _SALT = np.uint64(0xA0761D6478BD642F)
 _PAIR = np.uint64(0xE7037ED1A0B428DB)
@@ -166,30 +168,48 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["part", "tokens", "counts", "tail"])
 
 
-def _segments(above: int, bits: int):
+class Levels:
+    """How frequent a token is: the number of filters, each of more frequent tokens than the one before, that have it."""
+
+    def __init__(self, filters: list[Filter]):
+        self.filters = filters
+
+    def of(self, tokens: np.ndarray) -> np.ndarray:
+        level = np.zeros(len(tokens), np.int64)
+        left = np.arange(len(tokens))
+        for each in self.filters:
+            left = left[each.has(tokens[left])]
+            level[left] += 1
+        return level
+
+
+def _segments(wanted: list[tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = []
-            for tokens, counts in zip(batch["tokens"], batch["counts"]):
-                chosen = np.frombuffer(counts.as_buffer(), np.int32) > above
-                made.append(Filter.segment(np.frombuffer(tokens.as_buffer(), np.uint64)[chosen], bits))
-            yield pa.RecordBatch.from_arrays([batch["part"], pa.array(made, pa.binary())], names=["part", "bits"])
+            for part, tokens, counts in zip(batch["part"], batch["tokens"], batch["counts"]):
+                tokens, counts = np.frombuffer(tokens.as_buffer(), np.uint64), np.frombuffer(counts.as_buffer(), np.int32)
+                made = [Filter.segment(tokens[counts > above], bits) for above, bits in wanted]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([part.as_py()] * len(wanted), pa.int32()), pa.array(range(len(wanted)), pa.int32()), pa.array(made, pa.binary()),
+                ], names=["part", "number", "bits"])
 
     return run
 
 
-def _filter(counted: DataFrame, parts: int, above: int, members: int) -> Filter:
-    """At most FILTER_BYTES in all reach the driver."""
-    bits = min(8 * FILTER_BYTES // parts, 16 * members // parts + 1024) // 64 * 64 or 64
-    made = counted.select("part", "tokens", "counts").mapInArrow(_segments(above, bits), "part int, bits binary")
-    segments = [bytes(bits // 8)] * parts
+def _filters(counted: DataFrame, parts: int, wanted: list[tuple[int, int]]) -> list[Filter]:
+    """One filter for each (count to exceed, members). At most FILTER_BYTES of each reach the driver."""
+    sized = [
+        (above, min(8 * FILTER_BYTES // parts, 16 * members // parts + 1024) // 64 * 64 or 64) for above, members in wanted
+    ]
+    made = counted.select("part", "tokens", "counts").mapInArrow(_segments(sized), "part int, number int, bits binary")
+    segments = [[bytes(bits // 8)] * parts for _, bits in sized]
     for row in made.toLocalIterator():
-        segments[row["part"]] = bytes(row["bits"])
-    return Filter(segments)
+        segments[row["number"]][row["part"]] = bytes(row["bits"])
+    return [Filter(each) for each in segments]
 
 
-def frequency_filters(docs: DataFrame, text: str, rare: int) -> tuple[Filter, Filter]:
-    """Filters of the tokens that two documents have, and of the frequent ones."""
+def frequency_filters(docs: DataFrame, text: str, rare: int) -> tuple[Filter, Levels]:
+    """A filter of the tokens that two documents have, and levels of the frequent ones, each of 2**LEVEL_POWER times the count before."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(1, math.ceil(size / 6 / TOKENS_A_TASK), int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -206,10 +226,9 @@ def frequency_filters(docs: DataFrame, text: str, rare: int) -> tuple[Filter, Fi
     shared, power = sum(tail), max(1, int(math.log2(rare)))
     while sum(tail[power:]) > FILTER_BYTES // 4:
         power += 1
-    return (
-        _filter(counted, parts, 1, shared),
-        _filter(counted, parts, 2**power, sum(tail[power:])),
-    )
+    powers = [p for p in range(power, 31, LEVEL_POWER) if p == power or sum(tail[p:])]
+    two, *many = _filters(counted, parts, [(1, shared), *[(2**p, sum(tail[p:])) for p in powers]])
+    return two, Levels(many)
 
 
 def _measured(ids: str, text: str, percent: int, shared):
@@ -237,13 +256,13 @@ def _measured(ids: str, text: str, percent: int, shared):
     return run
 
 
-def signatures(tokens: np.ndarray, often: np.ndarray, shared: np.ndarray, percent: int, k: int) -> np.ndarray:
+def signatures(tokens: np.ndarray, level: np.ndarray, shared: np.ndarray, percent: int, k: int) -> np.ndarray:
     """All combinations that a set is indexed by, for its own size band and the next."""
     size, own = len(tokens), band(len(tokens), percent)
     spare = size - needed(size, percent)
-    order = np.lexsort((tokens, often))
-    tokens, often, shared = tokens[order], often[order], shared[order]
-    lights = int((~often).sum())
+    order = np.lexsort((tokens, level))
+    tokens, shared = tokens[order], shared[order]
+    lights = int((level == 0).sum())
     found = []
     for scheme in (own, own + 1):
         stamp = mix(np.array([scheme * 64 + k], np.uint64))[0]
@@ -299,7 +318,7 @@ def _indexed(percent: int, k: int, shared, frequent):
             keys, refs, sizes, held = [], [], [], 0
             for ref, tokens in zip(batch["ref"].to_pylist(), batch["tokens"]):
                 tokens = np.frombuffer(tokens.as_buffer(), np.uint64)
-                keys.append(signatures(tokens, frequent.value.has(tokens), shared.value.has(tokens), percent, k))
+                keys.append(signatures(tokens, frequent.value.of(tokens), shared.value.has(tokens), percent, k))
                 refs.append(ref)
                 sizes.append(len(tokens))
                 held += len(keys[-1])
@@ -356,6 +375,8 @@ def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percen
             left.mapInArrow(_indexed(percent, k, shared, frequent), "sig bigint, ref bigint, size bigint"), "index"
         )
         groups = keep(found.join(_one_of_equal_groups(found), "sig"), "groups")
+        for salt in range(FIRST_ROUNDS):
+            labels = _verified(_one_partner_each(groups, labels, percent, salt), sets, labels, percent)
         last = k == MOST_TOKENS
         step = 0
         while step < 2 or last:
@@ -395,6 +416,19 @@ def _near_size(x: str, y: str, percent: int):
     return small * 100 >= large * percent
 
 
+def _one_partner_each(groups: DataFrame, labels: DataFrame, percent: int, salt: int) -> DataFrame:
+    """One pair for each set: with the first, by a hash, of the sets that lead a group of its. Most of a group of near copies choose the
+    same few leaders, so that the rounds after this find it connected."""
+    first = groups.groupBy("sig").agg(F.min(F.struct(F.xxhash64("ref", F.lit(salt)).alias("h"), "ref", "size")).alias("lead"))
+    near = (F.col("lead.ref") != F.col("ref")) & _near_size("size", F.col("lead.size"), percent)
+    chosen = groups.join(first, "sig").filter(near).groupBy("ref").agg(F.min("lead").alias("lead"))
+    chosen = chosen.join(labels, "ref").withColumnRenamed("label", "own").select("ref", "own", F.col("lead.ref").alias("to"))
+    other = labels.select(F.col("ref").alias("to"), "label")
+    return chosen.join(other, "to").filter("own <> label").select(
+        F.least("ref", "to").alias("a"), F.greatest("ref", "to").alias("b")
+    ).distinct()
+
+
 def _some_against_the_rest(groups: DataFrame, labels: DataFrame, percent: int, step: int) -> tuple[DataFrame, DataFrame | None]:
     """Pairs of GROWTH ** step members of each open group with those not connected to them; these then leave."""
     groups = keep(groups.join(_open(groups, labels).select("sig"), "sig"), "open-groups")
