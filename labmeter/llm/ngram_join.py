@@ -19,7 +19,7 @@ A document's set holds the 64-bit hashes of its distinct shingles. Two sets link
    can link lie in the same or neighbouring size bands, and each set is indexed for its own
    band and the next), so that a document has about as many combinations as tokens.
 4. *Verify.* Documents meet where they share a combination; of combinations with the same
-   members one is kept. First every set is checked against one leader of its groups, twice. Then each such group checks its
+   members one is kept. First every set is checked against one leader of its groups. Then each such group checks its
    members against one of them, then against GROWTH more, and so on; members found connected
    need no more checks, so a group of many near copies costs a few lines of checks and not all
    pairs. What is left in small groups is checked pair by pair; large groups are indexed anew with
@@ -52,7 +52,7 @@ MOST_TOKENS = 3
 GROWTH = 8
 KEYS_A_BATCH = 100_000
 LEVEL_POWER = 2
-FIRST_ROUNDS = 2
+FIRST_ROUNDS = 1
 
 _SALT = np.uint64(0xA0761D6478BD642F)
 _PAIR = np.uint64(0xE7037ED1A0B428DB)
