@@ -506,6 +506,8 @@ ORACLES: dict[str, str] = {
         WHERE place = 1""", "labs", "employees", "power_log"),
 }
 
+ORACLES |= {f"{name}_stored": ORACLES[name] for name in ("session_pairs", "uptime_intervals")}
+
 
 # The odd tables -------------------------------------------------------------------
 

@@ -11,6 +11,7 @@ from labmeter.functions import names, status, text
 from labmeter.operators import (
     attribution,
     changes,
+    fold_store,
     lifetimes,
     pivots,
     sessions,
@@ -25,6 +26,7 @@ from labmeter.sources.samples import NOW, OddTables, SampleTables
 Query = Callable[[SparkSession, str], DataFrame]
 
 LOW = "2024-01-10 00:00:00"
+MIDDLE = "2024-01-15 00:00:00"
 RANGE_LOW, RANGE_HIGH = 883_612_800, 946_684_799
 BUCKETS = {
     "urgent": ["1-URGENT"], "high": ["2-HIGH"], "medium": ["3-MEDIUM"],
@@ -226,6 +228,25 @@ def uptime_intervals(t: SampleTables) -> DataFrame:
     return uptime.uptime_intervals(t.power_ops)
 
 
+def _stored(t: SampleTables, events: DataFrame, fold: fold_store.Fold) -> DataFrame:
+    """The second half of the events comes first, as late as can be."""
+    spark = events.sparkSession
+    store = fold_store.FoldStore(spark, own_folder(spark, "fold"), fold)
+    late = F.col(fold.ts) < F.lit(MIDDLE).cast("timestamp_ntz")
+    store.merge(events.filter(~late), 0)
+    store.merge(events.filter(late), 1)
+    return store.table()
+
+
+def session_pairs_stored(t: SampleTables) -> DataFrame:
+    pairs = _stored(t, _closed_login_events(t), fold_store.SESSIONS)
+    return pairs.withColumn("seconds", F.timestamp_diff("SECOND", F.col("login_ts"), F.col("logout_ts")))
+
+
+def uptime_intervals_stored(t: SampleTables) -> DataFrame:
+    return _stored(t, t.power_ops, fold_store.UPTIME)
+
+
 def latest_interval(t: SampleTables) -> DataFrame:
     return uptime.latest_interval(uptime_intervals(t))
 
@@ -403,6 +424,7 @@ ALL: dict[str, Query] = {
         extract_address, after_marker, lab_buckets,
         closing_events, session_numbers, session_pairs, login_totals, login_totals_filled,
         uptime_totals, uptime_intervals, latest_interval, creation_ops, first_last_seen,
+        session_pairs_stored, uptime_intervals_stored,
         effective_end,
         attribute_events, attribute_events_exact, attribute_indexed, attribute_events_now, rejected_events,
         lookup_first, route_by_prefix, route_events, orphan_events,

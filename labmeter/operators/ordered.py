@@ -63,12 +63,36 @@ def with_neighbours(
     The summaries read every count, needed or not: with the same columns as the
     rows themselves they share one shuffle (`ReusedExchange` in the plan).
     """
-    columns = [ts, *counts]
-    slice_of = F.coalesce(floor_div(epoch_of(F.col(ts)), SLICE_SECONDS), F.lit(0))
-    sliced = (
-        instants.select(*keys, *columns).withColumn("slice", slice_of).repartition(*keys, "slice")
-    )
+    sliced = in_slices(instants.select(*keys, ts, *counts), ts).repartition(*keys, "slice")
+    summaries = slice_summaries(sliced, keys, ts, counts, running)
+    return neighbours_in_slices(sliced, summaries, keys, ts, counts, running)
+
+
+def in_slices(instants: DataFrame, ts: str) -> DataFrame:
+    """Adds `slice`, the number of the stretch of time that an instant lies in."""
+    return instants.withColumn("slice", F.coalesce(floor_div(epoch_of(F.col(ts)), SLICE_SECONDS), F.lit(0)))
 
+
+def slice_summaries(
+    sliced: DataFrame, keys: Sequence[str], ts: str, counts: Sequence[str], running: Sequence[str]
+) -> DataFrame:
+    """One row per key and slice: its first and last instant, and sums."""
+    return sliced.groupBy(*keys, "slice").agg(
+        *_columns(
+            f"min({ts}) AS head_{ts}", f"max({ts}) AS tail_{ts}",
+            *[f"min_by({c}, {ts}) AS head_{c}" for c in counts],
+            *[f"max_by({c}, {ts}) AS tail_{c}" for c in counts],
+            *[f"sum({c}) AS slice_{c}" for c in running],
+            f"sum({' + '.join(counts)}) AS slice_events",
+        )
+    ).filter("slice_events > 0")
+
+
+def neighbours_in_slices(
+    sliced: DataFrame, summaries: DataFrame, keys: Sequence[str], ts: str, counts: Sequence[str], running: Sequence[str]
+) -> DataFrame:
+    """`with_neighbours` for the slices in `sliced`, each of them whole; `summaries` has all slices of their keys."""
+    columns = [ts, *counts]
     key = ", ".join(keys)
     inside = f"PARTITION BY {key}, slice ORDER BY {ts}"
     across = f"PARTITION BY {key} ORDER BY slice"
@@ -78,15 +102,6 @@ def with_neighbours(
         *[f"lag({c}) OVER ({inside}) AS prev_{c}" for c in columns],
         *[f"{_sum_before(c, inside)} AS before_{c}" for c in running],
     )
-    summaries = sliced.groupBy(*keys, "slice").agg(
-        *_columns(
-            f"min({ts}) AS head_{ts}", f"max({ts}) AS tail_{ts}",
-            *[f"min_by({c}, {ts}) AS head_{c}" for c in counts],
-            *[f"max_by({c}, {ts}) AS tail_{c}" for c in counts],
-            *[f"sum({c}) AS slice_{c}" for c in running],
-            f"sum({' + '.join(counts)}) AS slice_events",
-        )
-    ).filter("slice_events > 0")
     carry = summaries.selectExpr(
         *keys, "slice",
         *[f"lead(head_{c}) OVER ({across}) AS after_{c}" for c in columns],
@@ -94,7 +109,7 @@ def with_neighbours(
         *[f"{_sum_before(f'slice_{c}', across)} AS carried_{c}" for c in running],
     )
     return local.join(carry, [*keys, "slice"]).selectExpr(
-        *keys, *columns,
+        *keys, "slice", *columns,
         *[f"coalesce(next_{c}, after_{c}) AS next_{c}" for c in columns],
         *[f"coalesce(prev_{c}, ahead_{c}) AS prev_{c}" for c in columns],
         *[f"before_{c} + carried_{c} AS before_{c}" for c in running],

@@ -25,6 +25,7 @@ from labmeter.operators.ordered import (
 
 KEYS = ("vm_name",)
 KIND_KEYS = ("vm_name", "kind")
+SESSION_COUNTS = ["n_in", "n_out"]
 LOGIN, POWER = "login", "power"
 
 
@@ -74,7 +75,7 @@ def with_closing(
     return timeline.unionByName(closing_events(eligible, reservations, now))
 
 
-def _instants(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+def session_instants(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     return collapse(
         events, keys, "dt",
         n_in=F.col("action") == "in", n_out=F.col("action") == "out",
@@ -84,7 +85,11 @@ def _instants(events: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _openings(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per instant: `login_ts`, `logout_ts` of its last session, and `starts_orphan`,
     true where a VM's log begins with an `out`."""
-    near = with_neighbours(_instants(events, keys), keys, "dt", ["n_in", "n_out"], [])
+    return openings_of(with_neighbours(session_instants(events, keys), keys, "dt", SESSION_COUNTS, []), keys)
+
+
+def openings_of(near: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`_openings` of instants that know their neighbours."""
     opens = F.col("n_in") > 0
     return near.select(
         *keys, known_time(F.col("dt")).alias("dt"), "n_in",
@@ -99,7 +104,7 @@ def number_sessions(events: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
     An `out` before the first `in` has number 0.
     """
-    near = with_neighbours(_instants(events, keys), keys, "dt", ["n_in", "n_out"], ["n_in"])
+    near = with_neighbours(session_instants(events, keys), keys, "dt", ["n_in", "n_out"], ["n_in"])
     per_action = near.select(
         *keys, known_time(F.col("dt")).alias("dt"), F.col("before_n_in").alias("base"),
         F.inline(F.array(
@@ -119,6 +124,12 @@ def session_pairs(events: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     all but the last are cut off so. A log that begins with an `out` gives one
     row without a login.
     """
+    rows = session_rows(_openings(events, keys), keys)
+    return repeat_rows(rows, F.col("times")).select(*keys, "login_ts", "logout_ts")
+
+
+def session_rows(openings: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, login_ts, logout_ts, times): the sessions of each instant, equal ones as one row."""
     none = F.lit(None).cast("timestamp_ntz")
 
     def row(login: Column, logout: Column, times: Column) -> Column:
@@ -127,7 +138,7 @@ def session_pairs(events: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
         )
 
     login, logout, n_in = F.col("login_ts"), F.col("logout_ts"), F.col("n_in")
-    rows = _openings(events, keys).select(
+    return openings.select(
         *keys,
         F.inline(F.array(
             row(login, logout, F.least(n_in, F.lit(1))),
@@ -135,7 +146,6 @@ def session_pairs(events: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
             row(none, F.col("dt"), F.col("starts_orphan").cast("int")),
         )),
     )
-    return repeat_rows(rows, F.col("times")).select(*keys, "login_ts", "logout_ts")
 
 
 _LENGTH = "timestampdiff({}, login_ts, logout_ts)"

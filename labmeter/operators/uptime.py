@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from labmeter.functions.status import CREATED, DELETE, POWER_ON, SUSPEND, op_nam
 from labmeter.operators.ordered import collapse, known_time, repeat_rows, with_neighbours
 
 KEYS = ("vm_name",)
+POWER_COUNTS = ["n_on", "n_suspend", "n_off"]
 
 
 def ops_to_log(ops: DataFrame) -> DataFrame:
@@ -33,14 +36,22 @@ def uptime_intervals(ops: DataFrame) -> DataFrame:
     an older open interval open for good, so an interval can only be closed by
     the operation right after it.
     """
+    near = with_neighbours(power_instants(ops), KEYS, "ts", POWER_COUNTS, ["n_on"])
+    return repeat_rows(interval_rows(near, KEYS), F.col("times")).select(*KEYS, "power_on", "power_off")
+
+
+def power_instants(ops: DataFrame) -> DataFrame:
+    """One row per VM and second with counts of its operations."""
     op = F.col("op")
     relevant = ops.filter(op.isin(POWER_ON, SUSPEND, DELETE))
-    instants = collapse(
+    return collapse(
         relevant, KEYS, "ts",
         n_on=op == POWER_ON, n_suspend=op == SUSPEND, n_off=op.isin(SUSPEND, DELETE),
     )
-    near = with_neighbours(instants, KEYS, "ts", ["n_on", "n_suspend", "n_off"], ["n_on"])
 
+
+def interval_rows(near: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, power_on, power_off, times): the intervals of each instant, equal ones as one row."""
     none = F.lit(None).cast("timestamp_ntz")
     here, n_on = known_time(F.col("ts")), F.col("n_on")
     closing = F.when(F.col("next_n_off") > 0, F.col("next_ts"))
@@ -48,17 +59,16 @@ def uptime_intervals(ops: DataFrame) -> DataFrame:
     late_suspends = F.when(F.col("before_n_on") > 0, F.col("n_suspend") - closes_here).otherwise(0)
 
     def row(on: Column, off: Column, times: Column) -> Column:
-        return F.struct(on.alias("power_on"), off.alias("power_off"), times.alias("times"))
+        return F.struct(on.alias("power_on"), off.alias("power_off"), times.cast("long").alias("times"))
 
-    rows = near.select(
-        *KEYS,
+    return near.select(
+        *keys,
         F.inline(F.array(
             row(here, closing, F.least(n_on, F.lit(1))),
             row(here, none, n_on - 1),
             row(none, here, late_suspends),
         )),
     )
-    return repeat_rows(rows, F.col("times")).select(*KEYS, "power_on", "power_off")
 
 
 def latest_interval(intervals: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from labmeter.functions.clock import whole_second
 from labmeter.operators.attribution import attribute_events
 from labmeter.operators.cell_index import CellIndex
 from labmeter.operators.changes import describe_changes, first_changes, logged_changes
+from labmeter.operators.fold_store import FoldStore
 from labmeter.operators.lifetimes import deletions
 from labmeter.sources.sinks import stamp_arrival, target_table
 
@@ -75,6 +76,16 @@ def stream_index(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def stream_fold(events: DataFrame, store: FoldStore, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Merge a stream of events into a stored fold: nothing is too late for it. A repeated micro-batch changes nothing."""
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        store.merge(batch, batch_id)
+
+    writer = events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def stored_events(spark: SparkSession, sink: str, target: str) -> DataFrame:
     """What `stream_attribute` stored for one target table, or the rejects."""
     rows = spark.read.option("basePath", sink).parquet(sink)
