@@ -507,6 +507,8 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES |= {f"{name}_stored": ORACLES[name] for name in ("session_pairs", "uptime_intervals")}
+ORACLES |= {f"{name}_cells": ORACLES[name] for name in ("reservation_pivot", "reservation_pivot_all")}
+ORACLES["upserted_changes"] = ORACLES["latest_changes"]
 
 
 # The odd tables -------------------------------------------------------------------

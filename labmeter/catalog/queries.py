@@ -13,6 +13,7 @@ from labmeter.operators import (
     changes,
     fold_store,
     lifetimes,
+    pivot_cells,
     pivots,
     sessions,
     uptime,
@@ -392,6 +393,28 @@ def reservation_pivot_all(t: SampleTables) -> DataFrame:
     )
 
 
+def reservation_pivot_cells(t: SampleTables) -> DataFrame:
+    cells = pivot_cells.pivot_cells(t.order_reservations, BUCKETS)
+    totals = pivot_cells.totals_in_range(cells, BUCKETS, RANGE_LOW, RANGE_HIGH)
+    return pivots.pivot_report(totals, t.employees, BUCKETS)
+
+
+def reservation_pivot_all_cells(t: SampleTables) -> DataFrame:
+    cells = pivot_cells.pivot_cells(t.order_reservations, BUCKETS)
+    totals = pivot_cells.totals_in_range(cells, BUCKETS, RANGE_LOW, RANGE_HIGH, last_all_time=True)
+    return pivots.pivot_report(totals, t.employees, BUCKETS, keep_all=True)
+
+
+def upserted_changes(t: SampleTables) -> DataFrame:
+    """All changes first, the deletions again after them, out of order."""
+    spark = t.reservations.sparkSession
+    path, pulled = own_folder(spark, "changes"), extract_changes_deleted(t)
+    middle = F.col("modified") < F.lit(MIDDLE).cast("timestamp_ntz")
+    for part in (pulled.filter(~middle), pulled.filter(middle), pulled):
+        sinks.upsert_changes(part, path, buckets=8)
+    return sinks.stored_changes(spark, path)
+
+
 def _changes(t: SampleTables, only: str | None) -> DataFrame:
     return changes.extract_changes(
         t.reservations, t.employees, t.power_log,
@@ -431,7 +454,8 @@ ALL: dict[str, Query] = {
         usage_persistent, usage_persistent_all, usage_regular, usage_ratio_minutes,
         event_timeline, session_list, labs_by_user, labs_by_region,
         reservation_summary, reservation_pivot, reservation_pivot_all,
-        extract_changes_all, extract_changes_deleted, latest_changes,
+        reservation_pivot_cells, reservation_pivot_all_cells,
+        extract_changes_all, extract_changes_deleted, latest_changes, upserted_changes,
     )
 }
 

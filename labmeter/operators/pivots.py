@@ -76,7 +76,11 @@ def reservation_pivot(
     if not (last_all_time or keep_all):
         reservations = reservations.filter(ranged)
     last = F.lit(True) if last_all_time else ranged
-    totals = _per_email(reservations, buckets, ranged, last)
+    return pivot_report(_per_email(reservations, buckets, ranged, last), employees, buckets, keep_all)
+
+
+def pivot_report(totals: DataFrame, employees: DataFrame, buckets: Buckets, keep_all: bool = False) -> DataFrame:
+    """The report's columns from totals per mail address, taken directly or from cells (`pivot_cells`)."""
     total = F.coalesce("total_count", F.lit(0)).alias("total_count")
 
     if not keep_all:
