@@ -19,8 +19,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 MARKED = "\\### Assistant: </turn> ok"
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once a session: they need not see the repository."""
+    """Send this package's code to the executors, once a session: they need not see the repository.
+
+    Rows hold whole texts and sets, and a task holds several batches of them on either side: batches of 8 MB do, where
+    the session leaves Spark's 64 MB.
+    """
+    if spark.conf.get(BATCH_BYTES) in ("64MB", "67108864", "67108864b"):
+        spark.conf.set(BATCH_BYTES, "8m")
     context = spark.sparkContext
     if getattr(context, "_labmeter_shipped", False):
         return

@@ -83,7 +83,7 @@ class Filter:
     """A Bloom filter in segments, one for each range of the hash space."""
 
     def __init__(self, segments: list[bytes]):
-        self.segments = segments
+        self.parts = len(segments)
         self.bits = 8 * len(segments[0]) if segments else 0
         self.data = np.frombuffer(b"".join(segments), np.uint8)
 
@@ -103,7 +103,7 @@ class Filter:
     def has(self, tokens: np.ndarray) -> np.ndarray:
         if not self.bits:
             return np.zeros(len(tokens), bool)
-        first = part_of(tokens, len(self.segments)) * self.bits
+        first = part_of(tokens, self.parts) * self.bits
         found = np.ones(len(tokens), bool)
         for place in Filter.places(tokens, self.bits):
             at = first + place
