@@ -46,7 +46,7 @@ from labmeter.llm.shingles import distinct_sets, mix, slices
 
 FILTER_BYTES = 32 << 20
 RARE = 16
-TOKENS_A_TASK = 2_000_000
+TOKENS_A_TASK = 1_000_000
 SMALL_GROUP = 48
 MOST_TOKENS = 3
 GROWTH = 8
@@ -116,7 +116,8 @@ def part_of(tokens: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _packed(parts: int, text: str):
-    """(part, tokens) rows: the distinct tokens of each text, a set that repeats in a batch once."""
+    """(part, tokens, again, more) rows: the tokens of a batch's distinct sets, each once; how often more those occur that several
+    sets have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,13 +132,17 @@ def _packed(parts: int, text: str):
                         chunks.append(tokens[a:b])
             if not chunks:
                 continue
-            tokens = np.sort(np.concatenate(chunks))
-            edges = np.searchsorted(part_of(tokens, parts), np.arange(parts + 1))
+            tokens, counts = np.unique(np.concatenate(chunks), return_counts=True)
+            again, more = tokens[counts > 1], (counts[counts > 1] - 1).astype(np.int32)
+            edges, edges_again = (np.searchsorted(part_of(x, parts), np.arange(parts + 1)) for x in (tokens, again))
             rows = [i for i in range(parts) if edges[i] < edges[i + 1]]
             yield pa.RecordBatch.from_arrays([
                 pa.array(rows, pa.int32()),
-                pa.array([tokens[edges[i]:edges[i + 1]].tobytes() for i in rows], pa.binary()),
-            ], names=["part", "tokens"])
+                *[
+                    pa.array([x[e[i]:e[i + 1]].tobytes() for i in rows], pa.binary())
+                    for x, e in ((tokens, edges), (again, edges_again), (more, edges_again))
+                ],
+            ], names=["part", "tokens", "again", "more"])
 
     return run
 
@@ -151,16 +156,21 @@ def fingerprint(tokens: np.ndarray) -> int:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tokens that occur in two documents or more, with their counts, by part."""
-    held: dict[int, list[np.ndarray]] = {}
+    held: dict[int, list[list[np.ndarray]]] = {}
     for batch in batches:
-        for part, tokens in zip(batch["part"].to_pylist(), batch["tokens"]):
-            held.setdefault(part, []).append(np.frombuffer(tokens.as_buffer(), np.uint64))
-    for part, chunks in held.items():
-        tokens = np.sort(np.concatenate(chunks))
+        for part, *found in zip(batch["part"].to_pylist(), batch["tokens"], batch["again"], batch["more"]):
+            kept = held.setdefault(part, [[], [], []])
+            for chunks, data, kind in zip(kept, found, (np.uint64, np.uint64, np.int32)):
+                chunks.append(np.frombuffer(data.as_buffer(), kind))
+    while held:
+        part, (once, again, more) = held.popitem()
+        tokens = np.sort(np.concatenate(once))
         first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
         counts = np.diff(np.append(first, len(tokens)))
-        again = counts > 1
-        tokens, counts = tokens[first][again], np.minimum(counts[again], 2**31 - 1)
+        tokens = tokens[first]
+        np.add.at(counts, np.searchsorted(tokens, np.concatenate(again)), np.concatenate(more))
+        shared = counts > 1
+        tokens, counts = tokens[shared], np.minimum(counts[shared], 2**31 - 1)
         tail = np.bincount(np.minimum(63, np.log2(counts).astype(np.int64)), minlength=64)
         yield pa.RecordBatch.from_arrays([
             pa.array([part], pa.int32()), pa.array([tokens.tobytes()], pa.binary()),
@@ -213,7 +223,7 @@ def frequency_filters(docs: DataFrame, text: str, rare: int) -> tuple[Filter, Le
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(1, math.ceil(size / 6 / TOKENS_A_TASK), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = docs.select(text).mapInArrow(_packed(parts, text), "part int, tokens binary")
+    packed = docs.select(text).mapInArrow(_packed(parts, text), "part int, tokens binary, again binary, more binary")
     counted = keep(
         packed.repartition(parts, "part").mapInArrow(
             _counted, "part int, tokens binary, counts binary, tail array<bigint>"

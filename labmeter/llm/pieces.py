@@ -415,20 +415,25 @@ def decode_ids(model: Pieces, ids: np.ndarray, at: np.ndarray) -> list[bytes]:
     return [data[a + 1:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
 
 
-def encode(docs: DataFrame, path: str = MODEL, ids: str = "doc_id", text: str = "text", seed: int = SEED, rate: float = RATE, copy: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str = MODEL, ids: str = "doc_id", text: str = "text", seed: int = SEED, rate: float = RATE, copies: bool = False) -> DataFrame:
     """Adds ``pieces``: the ids of the text; other columns pass.
 
-    Null and empty texts have no pieces. Rows of equal id and text agree, or those of equal id, text and ``copy``, a column
-    that numbers copies.
+    Null and empty texts have no pieces. Rows of equal id and text agree, unless ``copies`` says that such rows that follow one another
+    are copies with a draw of their own each: the first of them has that of a single row. They are counted as far as one task reads on, so that
+    a copy that a file's split parts from the one before it counts as the first again.
     An empty table stays empty. A column named ``pieces`` is replaced.
     """
     spark: SparkSession = docs.sparkSession
     shared = spark.sparkContext.broadcast(read_model(path))
     plain = docs.drop("pieces")
-    docs = plain.withColumn("pieces", F.xxhash64(*[F.col(c) for c in (ids, text, copy) if c]))
+    docs = plain.withColumn("pieces", F.xxhash64(ids, text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = (0, -1)
         for batch in batches:
+            if copies and len(batch):
+                drawn, last = own_draws(batch.column("pieces").to_numpy(), *last)
+                batch = pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(drawn)], names=batch.schema.names)
             for part, found, at in _encoded(shared.value, batch, text, "pieces", seed, rate):
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(found, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=part.schema.names)
@@ -437,6 +442,17 @@ def encode(docs: DataFrame, path: str = MODEL, ids: str = "doc_id", text: str =
     return docs.mapInArrow(run, schema)
 
 
+def own_draws(variant: np.ndarray, before: int, number: int) -> tuple[np.ndarray, tuple[int, int]]:
+    """A number for each row, another one for each of equal rows that follow one another. ``before`` and ``number``: the last row's variant
+    and how many such rows it came after (-1: there was none). Also both for the rows' last."""
+    first = np.append(number < 0 or variant[0] != before, variant[1:] != variant[:-1])
+    starts = np.maximum.accumulate(np.where(first, np.arange(len(variant)), -number - 1))
+    nth = np.arange(len(variant)) - starts
+    with np.errstate(over="ignore"):
+        drawn = variant.view(np.uint64) + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return drawn.view(np.int64), (int(variant[-1]), int(nth[-1]))
+
+
 def _encoded(model: Pieces, batch: pa.RecordBatch, text: str, variant: str, seed: int, rate: float) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of a batch, with the ids of their texts and where each text's begin."""
     for low, high in slices(batch.column(text), most=8 * PIECE):

@@ -253,7 +253,16 @@ def test_every_occurrence_has_a_draw_of_its_own(spark):
         assert max(kinds.values()) < 0.9 * n or not rate
     rows = spark.createDataFrame([(1, word * 50, "s", "l"), (1, word * 50, "s", "l"), (2, word * 50, "s", "l"), (None, word * 50, "s", "l")], "doc_id long, text string, source string, lang string")
     assert len({tuple(r.pieces) for r in pieces.encode(rows).collect()}) == 3
-    assert len({tuple(r.pieces) for r in corpus_pipeline.encode(spark, rows, SF).collect()}) == 4
+    assert len({tuple(r.pieces) for r in corpus_pipeline.encode(spark, rows.coalesce(1), SF).collect()}) == 4
+
+
+def test_copies_in_a_row_have_draws_of_their_own_wherever_batches_end():
+    variant = np.array([5, 5, 5, 7, 0, 0, 5, 5], np.int64)
+    whole, _ = pieces.own_draws(variant, 0, -1)
+    assert whole[[0, 3, 4, 6]].tolist() == [5, 7, 0, 5] and whole[[1, 7]].tolist() == [whole[1]] * 2 and len(set(whole.tolist())) == 6
+    for cut in range(1, 8):
+        one, last = pieces.own_draws(variant[:cut], 0, -1)
+        assert one.tolist() + pieces.own_draws(variant[cut:], *last)[0].tolist() == whole.tolist()
 
 
 def test_encode_keeps_columns(docs, by_id):
