@@ -6,7 +6,7 @@ stages are tested against plain versions instead (``ORACLE_SQL`` is None).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labmeter.llm import dedupe, mixing, pieces, pii, toxicity
@@ -42,9 +42,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of each document; copies of one document are segmented by draws of their own."""
     ship(spark)
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang")
-    numbered = docs.withColumn("copy", F.row_number().over(same))
-    return pieces.encode(numbered, copy="copy").select("doc_id", "lang", "source", "pieces", F.size("pieces").alias("n_pieces"))
+    encoded = pieces.encode(docs, copies=True)
+    return encoded.select("doc_id", "lang", "source", "pieces", F.size("pieces").alias("n_pieces"))
 
 
 STAGES = [
