@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from labmeter.llm.components import relabel
 from labmeter.llm.scratch import keep
-from labmeter.llm.shingles import distinct_sets, mix, slices
+from labmeter.llm.shingles import distinct_sets, lean, mix, slices
 
 FILTER_BYTES = 32 << 20
 RARE = 16
@@ -211,7 +211,7 @@ def _filters(counted: DataFrame, parts: int, wanted: list[tuple[int, int]]) -> l
     sized = [
         (above, min(8 * FILTER_BYTES // parts, 16 * members // parts + 1024) // 64 * 64 or 64) for above, members in wanted
     ]
-    made = counted.select("part", "tokens", "counts").mapInArrow(_segments(sized), "part int, number int, bits binary")
+    made = counted.select("part", "tokens", "counts").mapInArrow(lean(_segments(sized)), "part int, number int, bits binary")
     segments = [[bytes(bits // 8)] * parts for _, bits in sized]
     for row in made.toLocalIterator():
         segments[row["number"]][row["part"]] = bytes(row["bits"])
@@ -223,10 +223,10 @@ def frequency_filters(docs: DataFrame, text: str, rare: int) -> tuple[Filter, Le
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(1, math.ceil(size / 6 / TOKENS_A_TASK), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = docs.select(text).mapInArrow(_packed(parts, text), "part int, tokens binary, again binary, more binary")
+    packed = docs.select(text).mapInArrow(lean(_packed(parts, text)), "part int, tokens binary, again binary, more binary")
     counted = keep(
         packed.repartition(parts, "part").mapInArrow(
-            _counted, "part int, tokens binary, counts binary, tail array<bigint>"
+            lean(_counted), "part int, tokens binary, counts binary, tail array<bigint>"
         ), "token-counts",
     )
     tail = [0] * 64
@@ -363,7 +363,7 @@ def _able_sets(docs: DataFrame, ids: str, text: str, percent: int, rare: int):
     kind = docs.schema[ids].dataType.simpleString()
     measured = keep(
         docs.mapInArrow(
-            _measured(ids, text, percent, shared), f"`{ids}` {kind}, n_shingles bigint, ref bigint, tokens binary"
+            lean(_measured(ids, text, percent, shared)), f"`{ids}` {kind}, n_shingles bigint, ref bigint, tokens binary"
         ), "sets",
     )
     sets = keep(
@@ -382,7 +382,7 @@ def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percen
     left = sets
     for k in range(2, MOST_TOKENS + 1):
         found = keep(
-            left.mapInArrow(_indexed(percent, k, shared, frequent), "sig bigint, ref bigint, size bigint"), "index"
+            left.mapInArrow(lean(_indexed(percent, k, shared, frequent)), "sig bigint, ref bigint, size bigint"), "index"
         )
         groups = keep(found.join(_one_of_equal_groups(found), "sig"), "groups")
         for salt in range(FIRST_ROUNDS):
@@ -479,7 +479,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return keep(
         pairs.join(sets.select(F.col("ref").alias("a"), F.col("tokens").alias("x")), "a")
         .join(sets.select(F.col("ref").alias("b"), F.col("tokens").alias("y")), "b")
-        .select("a", "b", "x", "y").mapInArrow(_overlaps(percent), "a bigint, b bigint"), "links",
+        .select("a", "b", "x", "y").mapInArrow(lean(_overlaps(percent)), "a bigint, b bigint"), "links",
     )
 
 
@@ -505,7 +505,7 @@ def every_link(docs: DataFrame, ids: str = "doc_id", text: str = "text", percent
     """
     measured, sets, shared, frequent = _able_sets(docs, ids, text, percent, rare)
     found = keep(
-        sets.mapInArrow(_indexed(percent, MOST_TOKENS, shared, frequent), "sig bigint, ref bigint, size bigint"), "index"
+        sets.mapInArrow(lean(_indexed(percent, MOST_TOKENS, shared, frequent)), "sig bigint, ref bigint, size bigint"), "index"
     )
     groups = keep(found.join(_one_of_equal_groups(found), "sig"), "groups")
     return measured.select(ids, "n_shingles", "ref"), _links(_all_pairs(groups, percent), sets, percent)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from labmeter.llm.scratch import keep
-from labmeter.llm.shingles import _BYTE, _POWER, buffers, mix, runs, slices
+from labmeter.llm.shingles import _BYTE, _POWER, buffers, lean, mix, runs, slices
 
 SAMPLE = 4096
 SAMPLE_WORDS = 3_000_000
@@ -166,7 +166,7 @@ def sample(docs: DataFrame, labels: DataFrame, ids: str, text: str, most: int, m
     read = docs.select(F.col(ids), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), ids)
     packed = keep(
         read.select("h", "toxic", "text").mapInArrow(
-            _sampled, "h bigint, toxic int, n bigint, words binary, sizes binary"
+            lean(_sampled), "h bigint, toxic int, n bigint, words binary, sizes binary"
         ), "sample",
     )
     first = Window.orderBy("late", "h").rowsBetween(Window.unboundedPreceding, 0)
@@ -185,7 +185,7 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def features(sampled: DataFrame) -> np.ndarray:
     """Sorted hashes of the features to learn: those of MIN_DOCS documents, or of so many that at most MOST_FEATURES stay."""
     counted = keep(
-        sampled.select("words").mapInArrow(_distinct, "word bigint").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        sampled.select("words").mapInArrow(lean(_distinct), "word bigint").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= MIN_DOCS), "features",
     )
     least, left = MIN_DOCS, 0
@@ -216,7 +216,7 @@ def numbered_features(sampled: DataFrame, words: np.ndarray) -> DataFrame:
                 batch.column("h"), batch.column("toxic"), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()),
             ], names=["h", "toxic", "places", "sizes"])
 
-    return sampled.select("h", "toxic", "words", "sizes").mapInArrow(run, "h bigint, toxic int, places binary, sizes binary")
+    return sampled.select("h", "toxic", "words", "sizes").mapInArrow(lean(run), "h bigint, toxic int, places binary, sizes binary")
 
 
 @dataclass
@@ -322,4 +322,4 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     added = "score double, offending array<struct<begin:bigint,end:bigint,score:double>>"
     schema = StructType([*docs.schema.fields, *StructType.fromDDL(added).fields])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
