@@ -23,7 +23,9 @@ A document's set holds the 64-bit hashes of its distinct shingles. Two sets link
    members against one of them, then against GROWTH more, and so on; members found connected
    need no more checks, so a group of many near copies costs a few lines of checks and not all
    pairs. What is left in small groups is checked pair by pair; large groups are indexed anew with
-   k + 1 tokens. Every check compares whole sets. The rounds end only when no group has
+   k + 1 tokens. Before whole sets are fetched, a pair's parity sketches are compared where it meets: bits in which they differ
+   are tokens that only one set has, so that a pair with too many of these cannot link and goes no further. Every check after that
+   compares whole sets. The rounds end only when no group has
    members left that are neither connected nor compared.
 
 Every pair of linked sets is either checked or already connected, so components are exact. ``every_link`` skips no pair:
@@ -53,9 +55,11 @@ GROWTH = 8
 KEYS_A_BATCH = 100_000
 LEVEL_POWER = 2
 FIRST_ROUNDS = 1
+SKETCH_WORDS = 16
 
 _SALT = np.uint64(0xA0761D6478BD642F)
 _PAIR = np.uint64(0xE7037ED1A0B428DB)
+_PARITY = np.uint64(0x8EBC6AF09C88C6E3)
 
 
 def needed(size: int, percent: int) -> int:
@@ -341,6 +345,24 @@ def _indexed(percent: int, k: int, shared, frequent):
     return run
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """SKETCH_WORDS * 64 bits, each the parity of the number of tokens that fall on it."""
+    bits = 64 * SKETCH_WORDS
+    odd = np.bincount((mix(tokens ^ _PARITY) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _outlined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        made = [sketch(np.frombuffer(tokens.as_buffer(), np.uint64)).tolist() for tokens in batch["tokens"]]
+        yield pa.RecordBatch.from_arrays([batch["ref"], pa.array(made, pa.list_(pa.int64()))], names=["ref", "sketch"])
+
+
+def _outlines(sets: DataFrame) -> DataFrame:
+    """(ref, sketch) of each set."""
+    return keep(sets.select("ref", "tokens").mapInArrow(lean(_outlined), "ref bigint, sketch array<bigint>"), "outlines")
+
+
 def _overlaps(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -379,6 +401,7 @@ def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percen
     """
     measured, sets, shared, frequent = _able_sets(docs, ids, text, percent, rare)
     labels = keep(sets.select("ref", F.col("ref").alias("label")), "labels")
+    outlines = _outlines(sets)
     left = sets
     for k in range(2, MOST_TOKENS + 1):
         found = keep(
@@ -390,14 +413,14 @@ def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percen
         last = k == MOST_TOKENS
         step = 0
         while step < 2 or last:
-            groups, pairs = _some_against_the_rest(groups, labels, percent, step)
+            groups, pairs = _some_against_the_rest(groups, labels, outlines, percent, step)
             if pairs is None:
                 break
             labels = _verified(pairs, sets, labels, percent)
             step += 1
         open_groups = _open(groups, labels)
         small = open_groups.filter(F.col("labels") <= SMALL_GROUP).select("sig")
-        labels = _verified(_pairs_of(groups.join(small, "sig"), labels, percent), sets, labels, percent)
+        labels = _verified(_pairs_of(groups.join(small, "sig"), labels, outlines, percent), sets, labels, percent)
         large = _open(groups, labels).filter(F.col("labels") > SMALL_GROUP).select("sig")
         still = keep(groups.join(large, "sig").select("ref").distinct(), "still-open")
         if still.isEmpty():
@@ -426,6 +449,14 @@ def _near_size(x: str, y: str, percent: int):
     return small * 100 >= large * percent
 
 
+def _can_link(x: str, y: str, x_sketch: str, y_sketch: str, percent: int):
+    """False only for sets that cannot link: of their x + y tokens, at least as many stand in one set alone as the sketches differ in bits."""
+    apart = sum(
+        (F.bit_count(F.col(x_sketch)[i].bitwiseXOR(F.col(y_sketch)[i])) for i in range(SKETCH_WORDS)), F.lit(0)
+    )
+    return _near_size(x, y, percent) & (apart * (100 + percent) <= (F.col(x) + F.col(y)) * (100 - percent))
+
+
 def _one_partner_each(groups: DataFrame, labels: DataFrame, percent: int, salt: int) -> DataFrame:
     """One pair for each set: with the first, by a hash, of the sets that lead a group of its. Most of a group of near copies choose the
     same few leaders, so that the rounds after this find it connected."""
@@ -439,7 +470,9 @@ def _one_partner_each(groups: DataFrame, labels: DataFrame, percent: int, salt:
     ).distinct()
 
 
-def _some_against_the_rest(groups: DataFrame, labels: DataFrame, percent: int, step: int) -> tuple[DataFrame, DataFrame | None]:
+def _some_against_the_rest(
+    groups: DataFrame, labels: DataFrame, outlines: DataFrame, percent: int, step: int
+) -> tuple[DataFrame, DataFrame | None]:
     """Pairs of GROWTH ** step members of each open group with those not connected to them; these then leave."""
     groups = keep(groups.join(_open(groups, labels).select("sig"), "sig"), "open-groups")
     if groups.isEmpty():
@@ -449,22 +482,26 @@ def _some_against_the_rest(groups: DataFrame, labels: DataFrame, percent: int, s
         groups.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= GROWTH**step)
         .select("sig", F.col("ref").alias("a"), F.col("size").alias("a_size")), "leaders",
     )
-    labelled = leaders.join(labels.withColumnRenamed("ref", "a").withColumnRenamed("label", "a_label"), "a")
+    known = labels.join(outlines, "ref")
+    labelled = leaders.join(known.select(F.col("ref").alias("a"), F.col("label").alias("a_label"), F.col("sketch").alias("a_sketch")), "a")
     pairs = (
-        groups.join(labels, "ref").join(labelled, "sig")
-        .filter(F.col("label") != F.col("a_label")).filter(_near_size("size", "a_size", percent))
+        groups.join(known, "ref").join(labelled, "sig")
+        .filter(F.col("label") != F.col("a_label")).filter(_can_link("size", "a_size", "sketch", "a_sketch", percent))
         .select(F.least("a", "ref").alias("a"), F.greatest("a", "ref").alias("b")).distinct()
     )
     rest = groups.join(leaders.select("sig", F.col("a").alias("ref")), ["sig", "ref"], "left_anti")
     return keep(rest, "groups"), pairs
 
 
-def _pairs_of(groups: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _pairs_of(groups: DataFrame, labels: DataFrame, outlines: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of different components in groups of at most SMALL_GROUP components."""
-    x = groups.join(labels, "ref")
-    left = x.select("sig", F.col("ref").alias("a"), F.col("size").alias("a_size"), F.col("label").alias("a_label"))
+    x = groups.join(labels.join(outlines, "ref"), "ref")
+    left = x.select(
+        "sig", F.col("ref").alias("a"), F.col("size").alias("a_size"), F.col("label").alias("a_label"), F.col("sketch").alias("a_sketch")
+    )
     return (
-        left.join(x, "sig").filter(F.col("a_label") < F.col("label")).filter(_near_size("size", "a_size", percent))
+        left.join(x, "sig").filter(F.col("a_label") < F.col("label"))
+        .filter(_can_link("size", "a_size", "sketch", "a_sketch", percent))
         .select("a", F.col("ref").alias("b")).distinct()
     )
 

@@ -139,6 +139,18 @@ def test_every_link_is_counted(docs, by_id, monkeypatch):
     assert len(pairs) == len(set(pairs))
 
 
+def test_sketches_differ_in_no_more_bits_than_sets_in_tokens():
+    draw = np.random.default_rng(5)
+    for size in (1, 7, 400, 6000):
+        x = np.unique(draw.integers(0, 2**63, size, np.uint64))
+        for change in (0, 1, size // 8, size // 3, size):
+            y = np.union1d(x[change:], draw.integers(0, 2**63, change, np.uint64))
+            bits = np.bitwise_count((ngram_join.sketch(x) ^ ngram_join.sketch(y)).view(np.uint64)).sum()
+            assert bits <= len(np.setxor1d(x, y))
+            assert len(np.setxor1d(x, y)) or not bits
+    assert np.bitwise_count(ngram_join.sketch(x).view(np.uint64)).sum() > 300
+
+
 def test_signatures_of_linked_sets_meet():
     rng = np.random.default_rng(1)
     for size in (2, 3, 4, 7, 12, 40, 90):
