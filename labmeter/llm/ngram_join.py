@@ -508,15 +508,22 @@ def _pairs_of(groups: DataFrame, labels: DataFrame, outlines: DataFrame, percent
 
 def _verified(pairs: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Labels after the pairs whose whole sets are similar enough have been joined."""
-    return relabel(labels, _links(pairs, sets, percent))
+    links = _links(pairs, sets, percent)
+    return labels if links.isEmpty() else relabel(labels, links)
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+    """The pairs (a, b) whose whole sets are similar enough.
+
+    The pairs are written first: Spark then knows their size before it plans, and where they are few it reads the
+    sets in place and moves only those that a pair names.
+    """
+    pairs = keep(pairs, "pairs")
+    first = sets.select(F.col("ref").alias("a"), F.col("tokens").alias("x"))
+    second = sets.select(F.col("ref").alias("b"), F.col("tokens").alias("y")).join(pairs.select("b"), "b", "left_semi")
     return keep(
-        pairs.join(sets.select(F.col("ref").alias("a"), F.col("tokens").alias("x")), "a")
-        .join(sets.select(F.col("ref").alias("b"), F.col("tokens").alias("y")), "b")
-        .select("a", "b", "x", "y").mapInArrow(lean(_overlaps(percent)), "a bigint, b bigint"), "links",
+        pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(lean(_overlaps(percent)), "a bigint, b bigint"),
+        "links",
     )
 
 
