@@ -18,8 +18,11 @@ A document's set holds the 64-bit hashes of its distinct shingles. Two sets link
    is left that both have. The number of classes grows with the size of the sets (sets that
    can link lie in the same or neighbouring size bands, and each set is indexed for its own
    band and the next), so that a document has about as many combinations as tokens.
-4. *Verify.* Documents meet where they share a combination; of combinations with the same
-   members one is kept. First every set is checked against one leader of its groups. Then each such group checks its
+4. *Meet.* t above is for the smallest partner: x may miss |x| - percent * (|x| + |y|) / (100 + percent) tokens of a partner of |y|, 1/7 of
+   |x| for one as large as x. So a combination carries its *reach*, |x| + 1 less the sum at which it is complete: the most tokens that x has in common with a
+   partner whose first common combination it is. Two sets are a candidate pair only where both reach far enough for their sizes. In their
+   first common combination linked sets do; members that reach nobody of their group leave it.
+5. *Verify.* Of combinations with the same members the one that reaches farthest is kept. First every set is checked against one leader of its groups. Then each such group checks its
    members against one of them, then against GROWTH more, and so on; members found connected
    need no more checks, so a group of many near copies costs a few lines of checks and not all
    pairs. What is left in small groups is checked pair by pair; large groups are indexed anew with
@@ -67,6 +70,11 @@ def needed(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
+def common(size: int, other: int, percent: int) -> int:
+    """Fewest tokens that linked sets of these sizes have in common."""
+    return -(-percent * (size + other) // (100 + percent))
+
+
 def band(size: int, percent: int) -> int:
     """Sets that can link lie in the same or in neighbouring bands."""
     low, index = 1, 0
@@ -272,31 +280,49 @@ def _measured(ids: str, text: str, percent: int, shared):
 
 def signatures(tokens: np.ndarray, level: np.ndarray, shared: np.ndarray, percent: int, k: int) -> np.ndarray:
     """All combinations that a set is indexed by, for its own size band and the next."""
+    return np.unique(reaching(tokens, level, shared, percent, k)[0])
+
+
+def reaching(
+    tokens: np.ndarray, level: np.ndarray, shared: np.ndarray, percent: int, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The combinations of a set, the reach of each, and whether it is for the set's own size band.
+
+    Sets of one band meet where it is their own; in the next band's combinations a set looks for sets of that band only.
+    """
     size, own = len(tokens), band(len(tokens), percent)
-    spare = size - needed(size, percent)
     order = np.lexsort((tokens, level))
     tokens, shared = tokens[order], shared[order]
     lights = int((level == 0).sum())
-    found = []
+    keys, reach, ours = [], [], []
     for scheme in (own, own + 1):
-        stamp = mix(np.array([scheme * 64 + k], np.uint64))[0]
-        single = tokens[:min(lights, spare + 1)]
-        found.append(mix(single[shared[:len(single)]] ^ stamp))
-        if lights > spare:
+        smallest = max(bounds(own + 1, percent)[0] if scheme > own else bounds(max(0, own - 1), percent)[0], needed(size, percent))
+        spare = size - common(size, smallest, percent)
+        if spare < 0:
             continue
-        least = needed(bounds(max(0, scheme - 1), percent)[0], percent)
-        width = min(k, least)  # sets of a few tokens have no larger combination in common
-        classes = max(1, (least - 1) // (3 * (width - 1))) if width > 1 else 1
-        heavy = tokens[lights:]
-        dealt = (mix(heavy ^ _PAIR) % np.uint64(classes)).astype(np.int64)
-        order = np.argsort(dealt, kind="stable")
-        first, length = _runs_of(dealt[order])
-        place = np.empty(len(heavy), np.int64)
-        place[order] = np.arange(len(heavy)) - np.repeat(first, length)
-        weight = lights + np.cumsum(place + 1 >= width)
-        used = order[order <= np.searchsorted(weight, spare, "right")]
-        found.append(mix(combinations(heavy[used], dealt[used], width) ^ ~stamp))
-    return np.unique(np.concatenate(found))
+        stamp = mix(np.array([scheme * 64 + k], np.uint64))[0]
+        single = np.flatnonzero(shared[:min(lights, spare + 1)])
+        found, weight = [mix(tokens[single] ^ stamp)], [single + 1]
+        if lights <= spare:
+            least = needed(bounds(max(0, scheme - 1), percent)[0], percent)
+            width = min(k, least)  # sets of a few tokens have no larger combination in common
+            classes = max(1, (least - 1) // (3 * (width - 1))) if width > 1 else 1
+            heavy = tokens[lights:]
+            dealt = (mix(heavy ^ _PAIR) % np.uint64(classes)).astype(np.int64)
+            order = np.argsort(dealt, kind="stable")
+            first, length = _runs_of(dealt[order])
+            place = np.empty(len(heavy), np.int64)
+            place[order] = np.arange(len(heavy)) - np.repeat(first, length)
+            summed = lights + np.cumsum(place + 1 >= width)
+            used = order[order <= np.searchsorted(summed, spare, "right")]
+            made, last = combinations(heavy[used], dealt[used], width)
+            found.append(mix(made ^ ~stamp))
+            weight.append(summed[used[last]])
+        weights = np.concatenate(weight)
+        keys.append(np.concatenate(found))
+        reach.append(size + 1 - weights)
+        ours.append(np.full(len(weights), scheme == own))
+    return np.concatenate(keys), np.concatenate(reach), np.concatenate(ours)
 
 
 def _runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -305,8 +331,8 @@ def _runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(values)))
 
 
-def combinations(tokens: np.ndarray, classes: np.ndarray, k: int) -> np.ndarray:
-    """A number for each combination of k tokens of one class; tokens of a class stand together."""
+def combinations(tokens: np.ndarray, classes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each combination of k tokens of one class, and the place of its last token; tokens of a class stand together."""
     first, length = _runs_of(classes)
     end = np.repeat(first + length, length)
     sums, last = mix(tokens), np.arange(len(tokens))
@@ -316,31 +342,36 @@ def combinations(tokens: np.ndarray, classes: np.ndarray, k: int) -> np.ndarray:
         last = np.repeat(last, count) + 1 + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         with np.errstate(over="ignore"):
             sums = np.repeat(sums, count) + hashed[last]
-    return mix(sums)
+    return mix(sums), last
+
+
+INDEX = "sig bigint, ref bigint, size bigint, reach int, own boolean"
+MEMBER = ["ref", "size", "reach", "own"]
 
 
 def _indexed(percent: int, k: int, shared, frequent):
-    def packed(keys: list[np.ndarray], refs: list[int], sizes: list[int]) -> pa.RecordBatch:
-        lengths = [len(x) for x in keys]
+    def packed(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], refs: list[int], sizes: list[int]) -> pa.RecordBatch:
+        lengths = [len(keys) for keys, _, _ in rows]
+        keys, reach, own = (np.concatenate(x) for x in zip(*rows))
         return pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(refs, np.int64), lengths)),
-            pa.array(np.repeat(np.array(sizes, np.int64), lengths)),
-        ], names=["sig", "ref", "size"])
+            pa.array(keys.view(np.int64)), pa.array(np.repeat(np.array(refs, np.int64), lengths)),
+            pa.array(np.repeat(np.array(sizes, np.int64), lengths)), pa.array(reach.astype(np.int32)), pa.array(own),
+        ], names=["sig", *MEMBER])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, refs, sizes, held = [], [], [], 0
+            rows, refs, sizes, held = [], [], [], 0
             for ref, tokens in zip(batch["ref"].to_pylist(), batch["tokens"]):
                 tokens = np.frombuffer(tokens.as_buffer(), np.uint64)
-                keys.append(signatures(tokens, frequent.value.of(tokens), shared.value.has(tokens), percent, k))
+                rows.append(reaching(tokens, frequent.value.of(tokens), shared.value.has(tokens), percent, k))
                 refs.append(ref)
                 sizes.append(len(tokens))
-                held += len(keys[-1])
+                held += len(rows[-1][0])
                 if held > KEYS_A_BATCH:
-                    yield packed(keys, refs, sizes)
-                    keys, refs, sizes, held = [], [], [], 0
-            if keys:
-                yield packed(keys, refs, sizes)
+                    yield packed(rows, refs, sizes)
+                    rows, refs, sizes, held = [], [], [], 0
+            if rows:
+                yield packed(rows, refs, sizes)
 
     return run
 
@@ -404,10 +435,7 @@ def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percen
     outlines = _outlines(sets)
     left = sets
     for k in range(2, MOST_TOKENS + 1):
-        found = keep(
-            left.mapInArrow(lean(_indexed(percent, k, shared, frequent)), "sig bigint, ref bigint, size bigint"), "index"
-        )
-        groups = keep(found.join(_one_of_equal_groups(found), "sig"), "groups")
+        groups = _groups(keep(left.mapInArrow(lean(_indexed(percent, k, shared, frequent)), INDEX), "index"), percent)
         for salt in range(FIRST_ROUNDS):
             labels = _verified(_one_partner_each(groups, labels, percent, salt), sets, labels, percent)
         last = k == MOST_TOKENS
@@ -429,13 +457,27 @@ def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percen
     return measured.select(ids, "n_shingles", "ref"), labels
 
 
+def _groups(found: DataFrame, percent: int) -> DataFrame:
+    """The groups that sets meet in, without those members that reach none of the others' sizes, twice over: the smallest may leave."""
+    for _ in range(2):
+        smallest = F.greatest("least", F.ceil(F.col("size") * percent / 100))
+        reaches = percent * (F.col("size") + smallest) <= (100 + percent) * F.col("reach")
+        found = keep(found.join(_one_of_equal_groups(found), "sig").filter(reaches).select("sig", *MEMBER), "groups")
+    return found
+
+
 def _one_of_equal_groups(found: DataFrame) -> DataFrame:
-    """One combination for each group of two members or more: near copies share hundreds, all with the same members.
+    """(sig, least): one combination for each group of two members or more, with the size of the smallest member. Near copies share hundreds
+    with the same members; these are of one size band, and the first in the order of tokens reaches farthest for every member.
 
     Groups count as equal when number and mixed hashes (64 bits) of their members are.
     """
-    groups = found.groupBy("sig").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("ref")).alias("members"))
-    return groups.filter("n > 1").groupBy("n", "members").agg(F.min("sig").alias("sig")).select("sig")
+    groups = found.groupBy("sig").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("ref")).alias("members"), F.bool_or("own").alias("own"),
+        F.sum("reach").alias("reach"), F.min("size").alias("least"),
+    )
+    chosen = groups.filter("n > 1 AND own").groupBy("n", "members").agg(F.max(F.struct("reach", "sig", "least")).alias("best"))
+    return chosen.select("best.sig", "best.least")
 
 
 def _open(groups: DataFrame, labels: DataFrame) -> DataFrame:
@@ -444,28 +486,31 @@ def _open(groups: DataFrame, labels: DataFrame) -> DataFrame:
     return each.groupBy("sig").agg(F.count("*").alias("labels")).filter("labels > 1")
 
 
-def _near_size(x: str, y: str, percent: int):
-    small, large = F.least(x, y), F.greatest(x, y)
-    return small * 100 >= large * percent
+def _meet(percent: int):
+    """Whether two members of a group, the second with names that begin with a_, can be linked sets in their first common combination."""
+    far = percent * (F.col("size") + F.col("a_size")) <= (100 + percent) * F.least("reach", "a_reach")
+    return far & (F.col("own") | F.col("a_own"))
 
 
-def _can_link(x: str, y: str, x_sketch: str, y_sketch: str, percent: int):
-    """False only for sets that cannot link: of their x + y tokens, at least as many stand in one set alone as the sketches differ in bits."""
-    apart = sum(
-        (F.bit_count(F.col(x_sketch)[i].bitwiseXOR(F.col(y_sketch)[i])) for i in range(SKETCH_WORDS)), F.lit(0)
-    )
-    return _near_size(x, y, percent) & (apart * (100 + percent) <= (F.col(x) + F.col(y)) * (100 - percent))
+def _can_link(percent: int):
+    """False only for sets that cannot link: of their tokens, at least as many stand in one set alone as the sketches differ in bits."""
+    apart = sum((F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("a_sketch")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    return _meet(percent) & (apart * (100 + percent) <= (F.col("size") + F.col("a_size")) * (100 - percent))
+
+
+def _other(columns: list[str]) -> list:
+    """The columns of a pair's second member."""
+    return [F.col(c).alias("a" if c == "ref" else f"a_{c}") for c in columns]
 
 
 def _one_partner_each(groups: DataFrame, labels: DataFrame, percent: int, salt: int) -> DataFrame:
     """One pair for each set: with the first, by a hash, of the sets that lead a group of its. Most of a group of near copies choose the
     same few leaders, so that the rounds after this find it connected."""
-    first = groups.groupBy("sig").agg(F.min(F.struct(F.xxhash64("ref", F.lit(salt)).alias("h"), "ref", "size")).alias("lead"))
-    near = (F.col("lead.ref") != F.col("ref")) & _near_size("size", F.col("lead.size"), percent)
-    chosen = groups.join(first, "sig").filter(near).groupBy("ref").agg(F.min("lead").alias("lead"))
-    chosen = chosen.join(labels, "ref").withColumnRenamed("label", "own").select("ref", "own", F.col("lead.ref").alias("to"))
-    other = labels.select(F.col("ref").alias("to"), "label")
-    return chosen.join(other, "to").filter("own <> label").select(
+    first = groups.groupBy("sig").agg(F.min(F.struct(F.xxhash64("ref", F.lit(salt)).alias("h"), *MEMBER)).alias("lead"))
+    led = groups.join(first.select("sig", "lead.*").select("sig", "h", *_other(MEMBER)), "sig")
+    chosen = led.filter(F.col("a") != F.col("ref")).filter(_meet(percent)).groupBy("ref").agg(F.min_by("a", F.struct("h", "a")).alias("to"))
+    own, other = labels.withColumnRenamed("label", "own"), labels.select(F.col("ref").alias("to"), "label")
+    return chosen.join(own, "ref").join(other, "to").filter("own <> label").select(
         F.least("ref", "to").alias("a"), F.greatest("ref", "to").alias("b")
     ).distinct()
 
@@ -474,34 +519,31 @@ def _some_against_the_rest(
     groups: DataFrame, labels: DataFrame, outlines: DataFrame, percent: int, step: int
 ) -> tuple[DataFrame, DataFrame | None]:
     """Pairs of GROWTH ** step members of each open group with those not connected to them; these then leave."""
-    groups = keep(groups.join(_open(groups, labels).select("sig"), "sig"), "open-groups")
+    labelled = groups.join(labels, "ref")
+    still = labelled.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("sig")
+    groups = keep(labelled.join(still, "sig").select("sig", *MEMBER, "label"), "open-groups")
     if groups.isEmpty():
-        return groups, None
+        return groups.drop("label"), None
+    outlined = groups.join(outlines, "ref")
     order = Window.partitionBy("sig").orderBy(F.xxhash64("ref", F.lit(step)))
     leaders = keep(
-        groups.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= GROWTH**step)
-        .select("sig", F.col("ref").alias("a"), F.col("size").alias("a_size")), "leaders",
+        outlined.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= GROWTH**step)
+        .select("sig", *_other([*MEMBER, "label", "sketch"])), "leaders",
     )
-    known = labels.join(outlines, "ref")
-    labelled = leaders.join(known.select(F.col("ref").alias("a"), F.col("label").alias("a_label"), F.col("sketch").alias("a_sketch")), "a")
     pairs = (
-        groups.join(known, "ref").join(labelled, "sig")
-        .filter(F.col("label") != F.col("a_label")).filter(_can_link("size", "a_size", "sketch", "a_sketch", percent))
+        outlined.join(leaders, "sig").filter(F.col("label") != F.col("a_label")).filter(_can_link(percent))
         .select(F.least("a", "ref").alias("a"), F.greatest("a", "ref").alias("b")).distinct()
     )
-    rest = groups.join(leaders.select("sig", F.col("a").alias("ref")), ["sig", "ref"], "left_anti")
+    rest = groups.drop("label").join(leaders.select("sig", F.col("a").alias("ref")), ["sig", "ref"], "left_anti")
     return keep(rest, "groups"), pairs
 
 
 def _pairs_of(groups: DataFrame, labels: DataFrame, outlines: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of different components in groups of at most SMALL_GROUP components."""
     x = groups.join(labels.join(outlines, "ref"), "ref")
-    left = x.select(
-        "sig", F.col("ref").alias("a"), F.col("size").alias("a_size"), F.col("label").alias("a_label"), F.col("sketch").alias("a_sketch")
-    )
+    left = x.select("sig", *_other([*MEMBER, "label", "sketch"]))
     return (
-        left.join(x, "sig").filter(F.col("a_label") < F.col("label"))
-        .filter(_can_link("size", "a_size", "sketch", "a_sketch", percent))
+        left.join(x, "sig").filter(F.col("a_label") < F.col("label")).filter(_can_link(percent))
         .select("a", F.col("ref").alias("b")).distinct()
     )
 
@@ -530,13 +572,13 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _all_pairs(groups: DataFrame, percent: int) -> DataFrame:
     """Pairs (a < b) of members of a group. Members are dealt to blocks, so that a large group spreads over many keys."""
     counts = groups.groupBy("sig").agg(F.ceil(F.count("*") / SMALL_GROUP).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("ref", F.lit("block")), F.col("blocks")).cast("int")
-    rows = groups.join(counts, "sig").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("sig", "ref", "size", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    left = rows.filter("own = low").select("sig", "low", "high", F.col("ref").alias("a"), F.col("size").alias("a_size"))
-    met = left.join(rows.filter("own = high"), ["sig", "low", "high"]).filter((F.col("low") < F.col("high")) | (F.col("a") < F.col("ref")))
+    block = F.pmod(F.xxhash64("ref", F.lit("block")), F.col("blocks")).cast("int")
+    rows = groups.join(counts, "sig").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("sig", *MEMBER, "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    left = rows.filter("block = low").select("sig", "low", "high", *_other(MEMBER))
+    met = left.join(rows.filter("block = high"), ["sig", "low", "high"]).filter((F.col("low") < F.col("high")) | (F.col("a") < F.col("ref")))
     return (
-        met.filter(_near_size("size", "a_size", percent))
+        met.filter(_meet(percent))
         .select(F.least("a", "ref").alias("a"), F.greatest("a", "ref").alias("b")).distinct()
     )
 
@@ -548,10 +590,7 @@ def every_link(docs: DataFrame, ids: str = "doc_id", text: str = "text", percent
     themselves grow with the square of its distinct sets; nothing is left out.
     """
     measured, sets, shared, frequent = _able_sets(docs, ids, text, percent, rare)
-    found = keep(
-        sets.mapInArrow(lean(_indexed(percent, MOST_TOKENS, shared, frequent)), "sig bigint, ref bigint, size bigint"), "index"
-    )
-    groups = keep(found.join(_one_of_equal_groups(found), "sig"), "groups")
+    groups = _groups(keep(sets.mapInArrow(lean(_indexed(percent, MOST_TOKENS, shared, frequent)), INDEX), "index"), percent)
     return measured.select(ids, "n_shingles", "ref"), _links(_all_pairs(groups, percent), sets, percent)
 
 
