@@ -286,7 +286,7 @@ def attribute_indexed(t: SampleTables) -> DataFrame:
     early = F.col("lab").isin("Lab 0", "Lab 1")
     index.merge(labs.withColumn("end_ts", F.when(early, F.col("start_ts")).otherwise(F.col("end_ts"))), 0)
     index.merge(labs.filter(early), 1, changed=True)
-    return index.attribute(_addressed(t), overrides=OVERRIDES)
+    return index.attribute(_addressed(t), overrides=OVERRIDES, scratch=own_folder(labs.sparkSession, "lookup"))
 
 
 def attribute_events_now(t: SampleTables) -> DataFrame:

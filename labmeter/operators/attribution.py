@@ -33,7 +33,7 @@ def _floor(value: str, unit: int) -> str:
     return f"({value} - pmod({value}, {unit})) div {unit}"
 
 
-def _runs(intervals: DataFrame, *keys: str) -> DataFrame:
+def _runs(intervals: DataFrame, *keys: str, units: Sequence[int] = CELL_UNITS) -> DataFrame:
     """(rdp, *keys, rank, unit, first, end): runs of calendar cells, from `first` up to but not `end`,
     that tile [start, stop) in epoch seconds with cells as large as possible.
 
@@ -41,7 +41,7 @@ def _runs(intervals: DataFrame, *keys: str) -> DataFrame:
     """
     bounds, runs = [], []
     coarser: int | None = None
-    for unit in CELL_UNITS:
+    for unit in units:
         low, high = f"low_{unit}", f"high_{unit}"
         bounds += [f"-({_floor('-start', unit)}) AS {low}", f"{_floor('stop', unit)} AS {high}"]
         if coarser is None:
@@ -80,9 +80,9 @@ def _clipped(intervals: DataFrame, times: DataFrame) -> DataFrame:
     }).filter("start < stop")
 
 
-def interval_cells(intervals: DataFrame, *keys: str) -> DataFrame:
+def interval_cells(intervals: DataFrame, *keys: str, units: Sequence[int] = CELL_UNITS) -> DataFrame:
     """(rdp, *keys, unit, cell, n, best): how many intervals cover a calendar cell entirely, and the first by rank."""
-    tiles = _runs(intervals, *keys).selectExpr(
+    tiles = _runs(intervals, *keys, units=units).selectExpr(
         "rdp", *keys, "rank", "unit", "explode(sequence(first, end - 1)) AS cell"
     )
     return tiles.groupBy("rdp", *keys, "unit", "cell").agg(
@@ -103,9 +103,9 @@ def reservation_cells(reservations: DataFrame, asked: DataFrame | None = None) -
     return interval_cells(ranked)
 
 
-def probes(moments: DataFrame, *keys: str) -> DataFrame:
+def probes(moments: DataFrame, *keys: str, units: Sequence[int] = CELL_UNITS) -> DataFrame:
     """(address, ts, rdp, *keys, unit, cell): the cells each moment lies in, one per unit."""
-    asked = ", ".join(f"struct({u} AS unit, {_floor('at', u)} AS cell)" for u in CELL_UNITS)
+    asked = ", ".join(f"struct({u} AS unit, {_floor('at', u)} AS cell)" for u in units)
     timed = moments.withColumn("at", epoch_of(F.col("ts")))
     return timed.selectExpr(*MOMENT, "rdp", *keys, f"inline(array({asked}))")
 

@@ -20,12 +20,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labmeter.functions.text import DAY, HOUR, MINUTE
 from labmeter.operators.attribution import (
-    MOMENT, attributed, best_of, distinct_moments, interval_cells, probes, ranked_intervals,
+    CELL_UNITS, MOMENT, attributed, best_of, distinct_moments, interval_cells, probes, ranked_intervals,
 )
 from labmeter.operators.contains import lookup_grams, rare_grams, verified
 
 BUCKETS = 64
+# With all of CELL_UNITS, so that cells stored by these are found, and some between: cells are written, read and joined, a third as many do.
+UNITS = tuple(sorted({*CELL_UNITS, 8 * DAY, 6 * HOUR, 10 * MINUTE, 10}, reverse=True))
 
 TEXTS = "gram string, rdp string, batch bigint, bucket int"
 CELLS = (
@@ -76,7 +79,7 @@ class CellIndex:
         if done and batch <= max(done):
             return False
         known = ranked_intervals(reservations)
-        cells = interval_cells(known).withColumn("bucket", self._bucket("rdp"))
+        cells = interval_cells(known, units=UNITS).withColumn("bucket", self._bucket("rdp"))
         taken = self._read(f"{folder}/texts", TEXTS).filter(F.col("batch").isin(done)).groupBy("gram").agg(
             F.count(F.lit(1)).alias("n")
         )
@@ -101,50 +104,68 @@ class CellIndex:
             F.lit(batch).cast("long").alias("batch"), "shortest", F.lit(changed).alias("changed")
         ).write.mode("overwrite").parquet(f"{self._path}/{folder}/done/at={batch}")
 
-    def _cells(self, folder: str, batches: list[int], changed: list[int], buckets: list[int] | None = None) -> DataFrame:
-        """(bucket, rdp, unit, cell, n, best) of the done batches, without what a later batch replaced."""
-        cells = self._read(f"{folder}/cells", CELLS).filter(F.col("batch").isin(batches))
-        resets = self._read(f"{folder}/resets", RESETS).filter(F.col("batch").isin(changed)) if changed else None
+    def _cells(self, folder: str, batches: list[int]) -> DataFrame:
+        """(bucket, rdp, unit, cell, n, best, batch) of the done batches."""
+        return self._read(f"{folder}/cells", CELLS).filter(F.col("batch").isin(batches))
+
+    def _since(self, rows: DataFrame, folder: str, changed: list[int], buckets: list[int] | None = None) -> DataFrame:
+        """Adds `since`, the last batch that replaced what was known of a row's RDP text: cells of earlier ones count no more."""
+        if not changed:
+            return rows.withColumn("since", F.lit(None).cast("bigint"))
+        resets = self._read(f"{folder}/resets", RESETS).filter(F.col("batch").isin(changed))
         if buckets is not None:
-            cells = cells.filter(F.col("bucket").isin(buckets))
-            resets = resets.filter(F.col("bucket").isin(buckets)) if changed else None
-        if changed:
-            latest = resets.groupBy("bucket", "rdp").agg(F.max("batch").alias("since"))
-            cells = cells.join(latest, ["bucket", "rdp"], "left").filter("batch >= coalesce(since, batch)")
-        return cells.select("bucket", "rdp", "unit", "cell", "n", "best")
+            resets = resets.filter(F.col("bucket").isin(buckets))
+        return rows.join(resets.groupBy("bucket", "rdp").agg(F.max("batch").alias("since")), ["bucket", "rdp"], "left")
 
-    def _located(self, moments: DataFrame, folder: str, batches: list[int], shortest: int | None, exact: bool) -> DataFrame:
-        """(address, ts, rdp, bucket) for the indexed texts that a moment's address contains."""
+    def _pairs(self, asking: DataFrame, folder: str, batches: list[int], shortest: int | None, exact: bool) -> DataFrame:
+        """(address, rdp, bucket) for the indexed texts that an address contains."""
         if exact:
-            named = moments.withColumn("rdp", F.lower("address"))
+            pairs = asking.select("address", F.lower("address").alias("rdp")).distinct()
         else:
             length = F.lit(shortest).cast("int")
-            asked = lookup_grams(moments, "address", length).withColumn("bucket", self._bucket("gram"))
+            asked = lookup_grams(asking, "address", length).withColumn("bucket", self._bucket("gram"))
             texts = self._read(f"{folder}/texts", TEXTS).filter(F.col("batch").isin(batches))
             texts = texts.filter(F.col("bucket").isin(self._some(asked))).select("bucket", "gram", "rdp")
             pairs = verified(asked.join(texts, ["bucket", "gram"]), "address").distinct()
-            named = moments.join(pairs, "address")
-        return named.withColumn("bucket", self._bucket("rdp"))
+        return pairs.withColumn("bucket", self._bucket("rdp"))
+
+    def _located(self, moments: DataFrame, folder: str, batches: list[int], shortest: int | None, exact: bool) -> DataFrame:
+        """(address, ts, rdp, bucket) for the indexed texts that a moment's address contains."""
+        return moments.join(self._pairs(moments, folder, batches, shortest, exact), "address")
 
     def _some(self, keyed: DataFrame) -> list[int]:
         """The buckets that occur: at most as many numbers as there are buckets. They prune the files to read."""
         return sorted(row.bucket for row in keyed.select("bucket").distinct().collect())
 
-    def find(self, events: DataFrame, exact: bool = False) -> DataFrame:
-        """(address, ts, vm_name, match_count) for the moments of the events that a reservation covers."""
+    def _stored(self, rows: DataFrame, scratch: str | None, name: str) -> DataFrame:
+        """The rows as a table of their own, where there is a folder for it."""
+        if scratch is None:
+            return rows
+        rows.write.parquet(f"{scratch}/{name}")
+        return self._spark.read.schema(rows.schema).parquet(f"{scratch}/{name}")
+
+    def find(self, events: DataFrame, exact: bool = False, scratch: str | None = None) -> DataFrame:
+        """(address, ts, vm_name, match_count) for the moments of the events that a reservation covers.
+
+        The buckets to read are known before the lookup is planned, so that the events are read several times. Where that is
+        costly, `scratch` names a new folder: moments and the texts they contain are written there once and read from then on.
+        """
         folder, batches, shortest, changed = self._state()
-        located = self._located(distinct_moments(events), folder, batches, shortest, exact)
-        cells = self._cells(folder, batches, changed, self._some(located))
-        asked = probes(located, "bucket")
-        hits = asked.join(cells, ["bucket", "rdp", "unit", "cell"]).withColumn("source", F.lit(0))
-        return best_of(hits).select(*MOMENT, "vm_name", "match_count")
+        moments = self._stored(distinct_moments(events), scratch, "moments")
+        pairs = self._stored(self._pairs(moments, folder, batches, shortest, exact), scratch, "pairs")
+        buckets = self._some(pairs)
+        located = moments.join(self._since(pairs, folder, changed, buckets), "address")
+        cells = self._cells(folder, batches).filter(F.col("bucket").isin(buckets))
+        asked = probes(located, "bucket", "since", units=UNITS)
+        hits = asked.join(cells, ["bucket", "rdp", "unit", "cell"]).filter("batch >= coalesce(since, batch)")
+        return best_of(hits.withColumn("source", F.lit(0))).select(*MOMENT, "vm_name", "match_count")
 
     def attribute(
         self, events: DataFrame, now: Column | datetime | str | None = None, exact: bool = False,
-        overrides: Mapping[str, str] | None = None,
+        overrides: Mapping[str, str] | None = None, scratch: str | None = None,
     ) -> DataFrame:
-        """Events (address, ts, ...) with `vm_name` and `match_count`, as `attribution.attribute_events` gives them."""
-        return attributed(events, lambda asked: self.find(asked, exact), now, overrides)
+        """Events (address, ts, ...) with `vm_name` and `match_count`, as `attribution.attribute_events` gives them; `scratch`: see `find`."""
+        return attributed(events, lambda asked: self.find(asked, exact, scratch), now, overrides)
 
     def compact(self) -> None:
         """Writes all done batches as one batch of a new generation, without what was replaced. A repeat does no harm."""
@@ -152,7 +173,8 @@ class CellIndex:
         if not batches:
             return
         target, last = f"g{self._generation() + 1}", max(batches)
-        cells = self._cells(folder, batches, changed).groupBy("bucket", "rdp", "unit", "cell").agg(
+        known = self._since(self._cells(folder, batches), folder, changed).filter("batch >= coalesce(since, batch)")
+        cells = known.groupBy("bucket", "rdp", "unit", "cell").agg(
             F.sum("n").alias("n"), F.min("best").alias("best")
         )
         self._write(cells, f"{target}/cells", last)

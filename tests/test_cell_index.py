@@ -147,3 +147,18 @@ def test_the_time_range_and_the_moments_are_read_once_each(spark, tmp_path):
     assert found_first.first().match_count == 1
     final = found_first._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("Exchange hashpartitioning(address") <= 6
+
+
+def test_a_stored_lookup_reads_events_once_for_the_texts_and_few_cells(spark, tmp_path):
+    labs = [lab(f"vm{i}", f"10.240.{i % 7}.{i}", at("08:00:01") + LATE * i, at("10:00:07") + LATE * (i + 1)) for i in range(30)]
+    index = CellIndex(spark, str(tmp_path / "index"), buckets=4)
+    index.merge(reservations(spark, labs), 0)
+    index.merge(reservations(spark, [lab("new", "10.240.1.1", at("08:00"), at("09:00"))]), 1, changed=True)
+    assert spark.read.parquet(str(tmp_path / "index" / "g0" / "cells")).count() < 80 * len(labs)  # 40 days each
+    events = [(i, at("08:30") + LATE * (i // 2), f"10.240.{i % 7}.{i}") for i in range(30)]
+    spark.createDataFrame(events, EVENTS).write.parquet(str(tmp_path / "events"))
+    df = spark.read.parquet(str(tmp_path / "events"))
+    stored = index.attribute(df, scratch=str(tmp_path / "lookup"))
+    assert found(stored) == found(index.attribute(df)) and found(stored)[1] == ("new", 1)
+    final = plan_of(stored).split("== Initial Plan ==")[0]
+    assert sum("/events]" in line for line in final.splitlines() if "FileScan" in line) == 1
