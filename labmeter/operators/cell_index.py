@@ -27,7 +27,7 @@ from labmeter.operators.attribution import (
 from labmeter.operators.contains import lookup_grams, rare_grams, verified
 
 BUCKETS = 64
-# With all of CELL_UNITS, so that cells stored by these are found, and some between: cells are written, read and joined, a third as many do.
+# With all of CELL_UNITS, so that cells stored by these are found, and some between: fewer cells are written, read and joined.
 UNITS = tuple(sorted({*CELL_UNITS, 8 * DAY, 6 * HOUR, 10 * MINUTE, 10}, reverse=True))
 
 TEXTS = "gram string, rdp string, batch bigint, bucket int"
