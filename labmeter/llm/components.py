@@ -15,7 +15,7 @@ def connect(edges: DataFrame) -> DataFrame:
     the moved nodes remain. Nodes are numbered by hashes, so that rounds grow with the logarithm
     of a component's length.
     """
-    edges = keep(edges.select("a", "b").filter("a <> b").distinct(), "edges")
+    edges = keep(edges.select("a", "b").filter("a <> b"), "edges")
     roots = None
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -30,7 +30,7 @@ def connect(edges: DataFrame) -> DataFrame:
         edges = keep(
             edges.join(moved.select("a", F.col("to").alias("x")), "a")
             .join(moved.select(F.col("a").alias("b"), F.col("to").alias("y")), "b")
-            .filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges",
+            .filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")), "edges",
         )
     return roots if roots is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 

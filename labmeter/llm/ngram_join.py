@@ -25,8 +25,9 @@ A document's set holds the 64-bit hashes of its distinct shingles. Two sets link
 5. *Verify.* Of combinations with the same members the one that reaches farthest is kept. First every set is checked against one leader of its groups. Then each such group checks its
    members against one of them, then against GROWTH more, and so on; members found connected
    need no more checks, so a group of many near copies costs a few lines of checks and not all
-   pairs. What is left in small groups is checked pair by pair; large groups are indexed anew with
-   k + 1 tokens. Before whole sets are fetched, a pair's parity sketches are compared where it meets: bits in which they differ
+   pairs. After two such rounds the members outside a group's largest component are compared with all others, in blocks
+   that are spread over the cluster; only groups with more than MOST_APART such members are indexed anew with
+   k + 1 tokens, and go through rounds until they have no more. Before whole sets are fetched, a pair's parity sketches are compared where it meets: bits in which they differ
    are tokens that only one set has, so that a pair with too many of these cannot link and goes no further. Every check after that
    compares whole sets. The rounds end only when no group has
    members left that are neither connected nor compared.
@@ -37,6 +38,7 @@ it checks whatever shares a combination of MOST_TOKENS tokens, however connected
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -53,8 +55,10 @@ FILTER_BYTES = 32 << 20
 RARE = 16
 TOKENS_A_TASK = 1_000_000
 SMALL_GROUP = 48
+MOST_APART = 4096
+BLOCK = 512
 MOST_TOKENS = 3
-GROWTH = 8
+GROWTH = 32
 KEYS_A_BATCH = 100_000
 LEVEL_POWER = 2
 FIRST_ROUNDS = 1
@@ -435,35 +439,35 @@ def linked_sets(docs: DataFrame, ids: str = "doc_id", text: str = "text", percen
     outlines = _outlines(sets)
     left = sets
     for k in range(2, MOST_TOKENS + 1):
-        groups = _groups(keep(left.mapInArrow(lean(_indexed(percent, k, shared, frequent)), INDEX), "index"), percent)
+        groups = _groups(keep(left.mapInArrow(lean(_indexed(percent, k, shared, frequent)), INDEX), "index"), percent, outlines)
         for salt in range(FIRST_ROUNDS):
             labels = _verified(_one_partner_each(groups, labels, percent, salt), sets, labels, percent)
-        last = k == MOST_TOKENS
-        step = 0
-        while step < 2 or last:
-            groups, pairs = _some_against_the_rest(groups, labels, outlines, percent, step)
+        last, wide = k == MOST_TOKENS, None
+        for step in itertools.count():
+            groups, pairs = _some_against_the_rest(groups, labels, percent, step)
             if pairs is None:
                 break
             labels = _verified(pairs, sets, labels, percent)
-            step += 1
-        open_groups = _open(groups, labels)
-        small = open_groups.filter(F.col("labels") <= SMALL_GROUP).select("sig")
-        labels = _verified(_pairs_of(groups.join(small, "sig"), labels, outlines, percent), sets, labels, percent)
-        large = _open(groups, labels).filter(F.col("labels") > SMALL_GROUP).select("sig")
-        still = keep(groups.join(large, "sig").select("ref").distinct(), "still-open")
-        if still.isEmpty():
+            if step:
+                opened = _open(groups, labels)
+                wide = opened.filter(F.col("apart") > MOST_APART)
+                if not last or wide.isEmpty():
+                    labels = _verified(_pairs_apart(groups, opened, labels, percent), sets, labels, percent)
+                    break
+        if last or wide is None or wide.isEmpty():
             break
-        left = sets.join(still, "ref")
+        left = sets.join(keep(groups.join(wide, "sig").select("ref").distinct(), "still-open"), "ref")
     return measured.select(ids, "n_shingles", "ref"), labels
 
 
-def _groups(found: DataFrame, percent: int) -> DataFrame:
-    """The groups that sets meet in, without those members that reach none of the others' sizes, twice over: the smallest may leave."""
+def _groups(found: DataFrame, percent: int, outlines: DataFrame | None = None) -> DataFrame:
+    """The groups that sets meet in, without those members that reach none of the others' sizes, twice over: the smallest may leave.
+    With ``outlines``, every member that stays has its sketch."""
     for _ in range(2):
         smallest = F.greatest("least", F.ceil(F.col("size") * percent / 100))
         reaches = percent * (F.col("size") + smallest) <= (100 + percent) * F.col("reach")
         found = keep(found.join(_one_of_equal_groups(found), "sig").filter(reaches).select("sig", *MEMBER), "groups")
-    return found
+    return found if outlines is None else keep(found.join(outlines, "ref").select("sig", *MEMBER, "sketch"), "outlined")
 
 
 def _one_of_equal_groups(found: DataFrame) -> DataFrame:
@@ -481,9 +485,11 @@ def _one_of_equal_groups(found: DataFrame) -> DataFrame:
 
 
 def _open(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """Groups whose members belong to several components, with the number of these (at most)."""
+    """(sig, most, apart, rest): groups whose members belong to several components, with the largest of these, how many members are
+    apart from it, and how many are in it."""
     each = groups.join(labels, "ref").groupBy("sig", "label").agg(F.count("*").alias("n"))
-    return each.groupBy("sig").agg(F.count("*").alias("labels")).filter("labels > 1")
+    whole = each.groupBy("sig").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("top"))
+    return keep(whole.filter("n > top.n").selectExpr("sig", "top.label AS most", "n - top.n AS apart", "top.n AS rest"), "open")
 
 
 def _meet(percent: int):
@@ -515,36 +521,52 @@ def _one_partner_each(groups: DataFrame, labels: DataFrame, percent: int, salt:
     ).distinct()
 
 
-def _some_against_the_rest(
-    groups: DataFrame, labels: DataFrame, outlines: DataFrame, percent: int, step: int
-) -> tuple[DataFrame, DataFrame | None]:
+def _some_against_the_rest(groups: DataFrame, labels: DataFrame, percent: int, step: int) -> tuple[DataFrame, DataFrame | None]:
     """Pairs of GROWTH ** step members of each open group with those not connected to them; these then leave."""
     labelled = groups.join(labels, "ref")
     still = labelled.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("sig")
-    groups = keep(labelled.join(still, "sig").select("sig", *MEMBER, "label"), "open-groups")
+    groups = keep(labelled.join(still, "sig").select("sig", *MEMBER, "label", "sketch"), "open-groups")
     if groups.isEmpty():
         return groups.drop("label"), None
-    outlined = groups.join(outlines, "ref")
     order = Window.partitionBy("sig").orderBy(F.xxhash64("ref", F.lit(step)))
     leaders = keep(
-        outlined.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= GROWTH**step)
+        groups.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= GROWTH**step)
         .select("sig", *_other([*MEMBER, "label", "sketch"])), "leaders",
     )
     pairs = (
-        outlined.join(leaders, "sig").filter(F.col("label") != F.col("a_label")).filter(_can_link(percent))
+        groups.join(leaders, "sig").filter(F.col("label") != F.col("a_label")).filter(_can_link(percent))
         .select(F.least("a", "ref").alias("a"), F.greatest("a", "ref").alias("b")).distinct()
     )
     rest = groups.drop("label").join(leaders.select("sig", F.col("a").alias("ref")), ["sig", "ref"], "left_anti")
     return keep(rest, "groups"), pairs
 
 
-def _pairs_of(groups: DataFrame, labels: DataFrame, outlines: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of different components in groups of at most SMALL_GROUP components."""
-    x = groups.join(labels.join(outlines, "ref"), "ref")
-    left = x.select("sig", *_other([*MEMBER, "label", "sketch"]))
+def _pairs_apart(groups: DataFrame, opened: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of different components in groups with at most MOST_APART members apart from the largest component.
+
+    Those apart are dealt to blocks of BLOCK members and meet all the others, which are dealt to blocks of MOST_APART.
+    """
+    opened = opened.filter(F.col("apart") <= MOST_APART).select(
+        "sig", "most", F.ceil(F.col("apart") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("apart") + F.col("rest")) / MOST_APART).cast("int").alias("others"),
+    )
+    rows = groups.join(labels, "ref").join(opened, "sig")
+
+    def dealt(into: str, salt: str):
+        return F.pmod(F.xxhash64("ref", F.lit(salt)), F.col(into)).cast("int")
+
+    def every(into: str):
+        return F.explode(F.sequence(F.lit(0), F.col(into) - 1))
+
+    names = ["label", "sketch"]
+    left = rows.filter("label <> most").withColumn("block", dealt("blocks", "block")).withColumn("other", every("others"))
+    right = rows.withColumn("other", dealt("others", "other")).withColumn("block", every("blocks"))
+    met = left.select("sig", "block", "other", *_other([*MEMBER, *names])).join(
+        right.select("sig", "block", "other", *MEMBER, *names, (F.col("label") == F.col("most")).alias("far")), ["sig", "block", "other"]
+    )
     return (
-        left.join(x, "sig").filter(F.col("a_label") < F.col("label")).filter(_can_link(percent))
-        .select("a", F.col("ref").alias("b")).distinct()
+        met.filter((F.col("label") != F.col("a_label")) & (F.col("far") | (F.col("a") < F.col("ref")))).filter(_can_link(percent))
+        .select(F.least("a", "ref").alias("a"), F.greatest("a", "ref").alias("b")).distinct()
     )
 
 
@@ -561,6 +583,8 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sets in place and moves only those that a pair names.
     """
     pairs = keep(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs
     first = sets.select(F.col("ref").alias("a"), F.col("tokens").alias("x"))
     second = sets.select(F.col("ref").alias("b"), F.col("tokens").alias("y")).join(pairs.select("b"), "b", "left_semi")
     return keep(
